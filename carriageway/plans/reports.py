@@ -261,13 +261,13 @@ def work_zone_actions(conflicts: DataFrame) -> DataFrame:
     ).orderBy(F.desc("wz_fatalities"), F.desc("wz_incident_count"), "work_zone_id")
 
 
-def sensor_gaps(cells: DataFrame, sensors: DataFrame, k: int = 40) -> DataFrame:
+def sensor_gaps(cells: DataFrame, sensors: DataFrame, k: int | None = 40, busy_from: int = BUSY_CELL) -> DataFrame:
     """R13. Busy cells with and without an active sensor.
 
     A sensor only matters in a cell that holds incidents; joining busy cells to
     sensor cells settles that without touching the incidents again.
     """
-    busy = cells.where(F.col("incident_count") >= BUSY_CELL).select(
+    busy = cells.where(F.col("incident_count") >= busy_from).select(
         "h3_index_r8", "state_code", "incident_count", "total_fatalities", "risk_tier"
     )
     active = sensors.where(F.col("operational_status") == "Active")
@@ -277,14 +277,14 @@ def sensor_gaps(cells: DataFrame, sensors: DataFrame, k: int = 40) -> DataFrame:
         .when(F.col("total_fatalities") >= 1, "Priority Sensor Deployment")
         .otherwise("Consider Sensor Deployment")
     )
-    return (
-        marked.orderBy(F.desc("total_fatalities"), F.desc("incident_count"), "h3_index_r8", "state_code")
-        .limit(k)
-        .select(
-            "h3_index_r8", "incident_count", "total_fatalities", "risk_tier",
-            F.when(F.col("is_covered"), "Covered").otherwise("No Coverage").alias("sensor_coverage"),
-            advice.alias("sensor_recommendation"),
-        )
+    if k is not None:
+        marked = marked.orderBy(
+            F.desc("total_fatalities"), F.desc("incident_count"), "h3_index_r8", "state_code"
+        ).limit(k)
+    return marked.select(
+        "h3_index_r8", "incident_count", "total_fatalities", "risk_tier",
+        F.when(F.col("is_covered"), "Covered").otherwise("No Coverage").alias("sensor_coverage"),
+        advice.alias("sensor_recommendation"),
     )
 
 

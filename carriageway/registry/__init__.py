@@ -1,6 +1,6 @@
 """All registered queries and their check queries."""
 
-from carriageway.registry import datasets  # noqa: F401
+from carriageway.registry import datasets, report_queries  # noqa: F401
 from carriageway.registry.core import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

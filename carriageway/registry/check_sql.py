@@ -370,7 +370,11 @@ block("wz_status", "fx_work_zones", (
     "SELECT *, CASE WHEN start_date > TIMESTAMP '2024-12-31 00:00:00' THEN 'Planned' "
     "WHEN end_date < TIMESTAMP '2024-12-31 00:00:00' THEN 'Completed' ELSE 'Active' END AS status FROM fx_work_zones"
 ))
-block("wz_cells", "wz_status", with_cell("wz_status", "centroid_lat", "centroid_lon", 8, "zone_cell"))
+block("wz_open", "fx_work_zones", (
+    "SELECT *, CASE WHEN start_date > TIMESTAMP '2023-12-31 00:00:00' THEN 'Planned' "
+    "WHEN end_date < TIMESTAMP '2023-12-31 00:00:00' THEN 'Completed' ELSE 'Active' END AS status FROM fx_work_zones"
+))
+block("wz_cells", "wz_open", with_cell("wz_open", "centroid_lat", "centroid_lon", 8, "zone_cell"))
 block("geo_conflicts", "geo_incidents wz_cells", (
     "SELECT w.work_zone_id, w.zone_type, w.route_id AS wz_route, w.speed_limit_in_zone, "
     f"count(i.incident_id) AS wz_incident_count, {big('i.fatalities')} AS wz_fatalities, "

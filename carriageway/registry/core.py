@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from carriageway.functions.cells import hex_cell
 from carriageway.functions.rules import rounded_total
 from carriageway.plans import geo, gold, modelled, silver
 from carriageway.session import pin_utc
 from carriageway.sources.domain import view
 
+# Day at which work zones count as open: the incidents of the test data end in January 2024.
+WORK_ZONE_DAY = date(2023, 12, 31)
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -98,10 +103,8 @@ class Inputs:
 
     @cached_property
     def work_zones(self) -> DataFrame:
-        from carriageway.functions.cells import hex_cell
-
         return self.fx("work_zones").withColumns({
-            "h3_index_r8": hex_cell("centroid_lat", "centroid_lon", 8), "status": geo.work_zone_status(),
+            "h3_index_r8": hex_cell("centroid_lat", "centroid_lon", 8), "status": geo.work_zone_status(WORK_ZONE_DAY),
         })
 
     @cached_property
