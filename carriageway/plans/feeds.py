@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carriageway.functions.rules import truthy
+from carriageway.functions.rules import as_col, truthy
 from carriageway.functions.text import captured, has_text, numeric, stripped, text_or, title_words
 from carriageway.operators.keys import top_rows_per_key, unseen
 from carriageway.sources.tables import flatten
@@ -64,9 +64,11 @@ def _typed(fields: str) -> str:
     return ", ".join(f"{name}: {kind}" for name, kind in (f.split(" ") for f in fields.split(", ")))
 
 
-def usable_image(url: str = "image_url", status: str = "http_status", size: str = "image_bytes") -> Column:
+def usable_image(
+    url: Column | str = "image_url", status: Column | str = "http_status", size: Column | str = "image_bytes"
+) -> Column:
     """A picture counts when the fetch answered 200 with more than 500 bytes."""
-    return truthy(has_text(url) & (F.col(status) == 200) & (F.col(size) > USABLE_IMAGE_BYTES))
+    return truthy(has_text(url) & (as_col(status) == 200) & (as_col(size) > USABLE_IMAGE_BYTES))
 
 
 def camera_registry(polls: DataFrame, roads: DataFrame, payload: str = "payload") -> DataFrame:

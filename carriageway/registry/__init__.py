@@ -1,6 +1,8 @@
 """All registered queries and their check queries."""
 
-from carriageway.registry import datasets, report_queries  # noqa: F401
+from carriageway.registry import (  # noqa: F401
+    datasets, report_queries, relational_queries, scalar_queries, geo_queries, quality_queries,
+)
 from carriageway.registry.core import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
