@@ -55,7 +55,7 @@ def with_cells(
 def axial(cell: Column | str) -> tuple[Column, Column, Column]:
     """Resolution, q and r of a cell."""
     cell = as_col(cell)
-    return tuple(F.split_part(cell, F.lit(":"), F.lit(i)).cast("int") for i in (1, 2, 3))
+    return tuple(F.split_part(cell, F.lit(":"), F.lit(i)).try_cast("int") for i in (1, 2, 3))
 
 
 def ring_offsets(k: int) -> list[tuple[int, int]]:

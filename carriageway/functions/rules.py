@@ -84,12 +84,13 @@ def tally(predicate: Column) -> Column:
     return F.count_if(predicate)
 
 
-def hash_draw(key: Column, salt: str) -> Column:
+def hash_draw(key: Column, salt: Column | str) -> Column:
     """Repeatable draw in [0, 1) from a key, the same under any partitioning.
 
     28 bits of an md5 digest: any SQL engine can reproduce it.
     """
-    digest = F.md5(F.concat(key.cast("string"), F.lit("|" + salt)))
+    salt = F.lit(salt) if isinstance(salt, str) else salt
+    digest = F.md5(F.concat(key.cast("string"), F.lit("|"), salt))
     return F.conv(F.substring(digest, 1, 7), 16, 10).cast("double") / F.lit(268435456.0)
 
 
@@ -104,8 +105,9 @@ def hash_int(key: Column, salt: str, low: int, high: int) -> Column:
     return (F.floor(hash_draw(key, salt) * (high - low + 1)) + low).cast("int")
 
 
-def hash_normal(key: Column, salt: str) -> Column:
+def hash_normal(key: Column, salt: Column | str) -> Column:
     """Repeatable standard normal draw (Box-Muller on two uniform draws)."""
-    first = F.greatest(hash_draw(key, salt + "u"), F.lit(1e-9))
-    second = hash_draw(key, salt + "v")
+    salt = F.lit(salt) if isinstance(salt, str) else salt
+    first = F.greatest(hash_draw(key, F.concat(salt, F.lit("u"))), F.lit(1e-9))
+    second = hash_draw(key, F.concat(salt, F.lit("v")))
     return F.sqrt(F.lit(-2.0) * F.log(first)) * F.cos(F.lit(6.283185307179586) * second)

@@ -31,6 +31,10 @@ class Inputs:
     def path(self, name: str) -> str:
         return f"{self.dir}/{name}.parquet"
 
+    def stream_path(self, name: str) -> str:
+        """The table as a glob: a stream then takes a single file as well as a folder of files."""
+        return f"{self.dir}/{name[:-1]}[{name[-1]}].parquet"
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 

@@ -47,11 +47,11 @@ def boundary_sql() -> str:
 
     klon = 111.320 * math.cos(math.radians(35.5))
     q, r = "cast(split_part(h3_index_r8, ':', 2) AS int)", "cast(split_part(h3_index_r8, ':', 3) AS int)"
-    x = f"0.53275e0 * ({math.sqrt(3.0)!r} * {q} + {math.sqrt(3.0) / 2.0!r} * {r})"
+    x = f"0.53275e0 * ({math.sqrt(3.0)!r}e0 * {q} + {math.sqrt(3.0) / 2.0!r}e0 * {r})"
     y = f"0.53275e0 * 1.5e0 * {r}"
     turn = "radians(60.0e0 * (i % 6) - 30.0e0)"
-    corner_x = rnd(f"{ORIGIN_X} + ({x} + 0.53275e0 * cos({turn})) / {klon!r}", 6)
-    corner_y = rnd(f"{ORIGIN_Y} + ({y} + 0.53275e0 * sin({turn})) / 110.574e0", 6)
+    corner_x = rnd(f"{ORIGIN_X}e0 + ({x} + 0.53275e0 * cos({turn})) / {klon!r}", 6)
+    corner_y = rnd(f"{ORIGIN_Y}e0 + ({y} + 0.53275e0 * sin({turn})) / 110.574e0", 6)
     return f"array_to_string([concat({corner_x}, ' ', {corner_y}) for i in range(7)], ', ')"
 
 

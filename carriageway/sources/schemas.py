@@ -69,7 +69,7 @@ _TEXT = {
         "speed_limit_in_zone int, flagging_required string, project_cost_usd double, responsible_agency string, "
         "ingestion_timestamp timestamp"
     ),
-    "dot_employee": (
+    "employee": (
         "employee_id string, name string, sex string, birth_date date, hire_date date, ssn string, "
         "department string, job_title string, salary double, email string, phone_number string"
     ),
@@ -99,7 +99,7 @@ def declared(table: str) -> T.StructType:
     fields = []
     for i, column in enumerate(_TEXT[table].split(", ")):
         name, kind = column.split(" ")
-        required = i == 0 or name == "ingestion_timestamp" or table == "dot_employee"
+        required = i == 0 or name == "ingestion_timestamp" or table == "employee"
         fields.append(T.StructField(name, _TYPES[kind], not required))
     return T.StructType(fields)
 
