@@ -8,11 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def one_row_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Any one row per key. Map tasks keep one row per key before the shuffle."""
-    return df.dropDuplicates(list(keys))
-
-
 def top_rows_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
     """First ``n`` rows per key in the given order.
 
@@ -23,6 +18,17 @@ def top_rows_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]
     return df.withColumn("_spot", spot).where(F.col("_spot") <= n).drop("_spot")
 
 
+def one_row_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Any one row per key.
+
+    A row number cut to 1 rather than ``dropDuplicates``: that aggregates the
+    first value of every column, which for text columns sorts and rebuilds each
+    row on both sides of the shuffle. Here rows are only sorted, and each map
+    task still sends one row per key at most.
+    """
+    return top_rows_per_key(df, keys, [F.col(keys[0])])
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], when: str, *tie_break: str) -> DataFrame:
     return top_rows_per_key(df, keys, [F.col(when).desc(), *[F.col(c) for c in tie_break]])
 

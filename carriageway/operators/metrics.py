@@ -11,6 +11,10 @@ from carriageway.operators.ordered import running_totals
 from carriageway.operators.settle import settled
 
 
+# Slices of a score in [0, 1]: only slice totals are ordered in one task.
+SCORE_SLICES = 65536
+
+
 def accuracy(df: DataFrame, label: str, predicted: str) -> DataFrame:
     return df.agg(share_where(F.col(label) == F.col(predicted)).alias("accuracy"))
 
@@ -66,7 +70,7 @@ def score_steps(df: DataFrame, label: str, score: str, slice_by: Column | None =
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
     )
     steps = settled(steps, "score-steps")
-    cut = slice_by if slice_by is not None else F.floor(F.col("score") * 1024)
+    cut = slice_by if slice_by is not None else F.floor(F.col("score") * SCORE_SLICES)
     return running_totals(
         steps, [], [F.col("score").desc()], cut,
         {"pos_so_far": F.col("pos"), "neg_so_far": F.col("neg")}, descending=True,

@@ -32,9 +32,9 @@ def latest_runs(runs: DataFrame) -> DataFrame:
 
 
 def numbered_runs(runs: DataFrame, out: str = "run_number") -> DataFrame:
-    """Position of a run among its model's runs, oldest first; sliced by day."""
-    day = F.datediff(F.to_date("start_time"), F.lit("1970-01-01").cast("date"))
-    return row_numbers(runs, ["run_name"], [F.col("start_time"), F.col("run_id")], day, out)
+    """Position of a run among its model's runs, oldest first; sliced by minute."""
+    minute = F.date_trunc("minute", "start_time")
+    return row_numbers(runs, ["run_name"], [F.col("start_time"), F.col("run_id")], minute, out)
 
 
 def metrics_long(runs: DataFrame, metrics: Sequence[str], keep: Sequence[str]) -> DataFrame:

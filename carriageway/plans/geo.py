@@ -28,7 +28,7 @@ SMALLEST_RADIUS = 0.005
 TRANSIT_SHARE = 0.08
 SEGMENT_AREA_CUTS = [(60000, "Urban"), (20000, "Suburban")]
 CONGESTION_CUTS = [(50000, "High"), (20000, "Moderate")]
-ROWS_PER_SLICE = 10000
+ROWS_PER_SLICE = 100000
 
 
 def _stamped(df: DataFrame, stamp: bool) -> DataFrame:

@@ -47,12 +47,12 @@ def _(i):
 
 
 @query("l03_one_hot", using("silver_bridges", (
-    "SELECT bridge_id, bridge_type, list_transform(range(8), lambda k: CASE WHEN k = dense_rank - 1 THEN 1e0 ELSE 0e0 END) AS onehot FROM ("
+    "SELECT bridge_id, bridge_type, array_to_string(list_transform(range(8), lambda k: CASE WHEN k = dense_rank - 1 THEN '1.0' ELSE '0.0' END), ',') AS onehot FROM ("
     "SELECT bridge_id, bridge_type, dense_rank() OVER (ORDER BY bridge_type) AS dense_rank FROM silver_bridges)")))
 def _(i):
     kinds = i.bridges.select("bridge_id", "bridge_type")
     fitted = Pipeline(stages=learning.encode_categories(["bridge_type"])).fit(kinds)
-    return fitted.transform(kinds).select("bridge_id", "bridge_type", vector_to_array("bridge_type_1h").alias("onehot"))
+    return fitted.transform(kinds).select("bridge_id", "bridge_type", F.array_join(vector_to_array("bridge_type_1h").cast("array<string>"), ",").alias("onehot"))
 
 
 @query("l04_standard_scaling", using("silver_pavement", (

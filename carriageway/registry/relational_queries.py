@@ -200,8 +200,8 @@ add("a11_conditional_sum", lambda i: steady(i.table(LINE).groupBy("l_linestatus"
         sum_where(C("l_returnflag").isin("A", "R"), "l_quantity").alias("returned")), 4),
     f"SELECT l_linestatus, {rnd("sum(CASE WHEN l_returnflag IN ('A', 'R') THEN l_quantity ELSE 0 END)", 4)} AS returned FROM lineitem GROUP BY 1")
 add("a12_collect_ids", lambda i: i.table("orders").groupBy("o_custkey").agg(
-        sorted_list(F.when(C("o_orderstatus") == "F", C("o_orderkey"))).alias("closed_orders")),
-    "SELECT o_custkey, coalesce(list_sort(list(o_orderkey) FILTER (WHERE o_orderstatus = 'F')), []) AS closed_orders FROM orders GROUP BY 1")
+        F.array_join(sorted_list(F.when(C("o_orderstatus") == "F", C("o_orderkey"))).cast("array<string>"), ",").alias("closed_orders")),
+    "SELECT o_custkey, array_to_string(coalesce(list_sort(list(o_orderkey) FILTER (WHERE o_orderstatus = 'F')), []), ',') AS closed_orders FROM orders GROUP BY 1")
 add("a13_ratio_of_aggregates", lambda i: i.table(LINE).groupBy("l_returnflag").agg(
         rounded_total(ratio(F.sum("l_extendedprice"), F.sum("l_quantity")), 4).alias("unit_price"),
         rounded_total(ratio(F.count(F.lit(1)), F.countDistinct("l_orderkey")), 4).alias("lines_per_order")),
@@ -257,7 +257,7 @@ add("w06_z_score", lambda i: spread(i).select("s_suppkey", F.when(
 add("w07_latest_per_key", lambda i: latest_per_key(i.table("events"), ["user_id"], "ts", "event_id").select("user_id", "event_id", "ts"),
     "SELECT user_id, event_id, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) AS spot FROM events) WHERE spot = 1")
 add("w08_sequence_number", lambda i: row_numbers(
-        i.table("events").select("event_id", "event_type", "ts"), ["event_type"], [C("ts"), C("event_id")], F.to_date("ts"), "run_number"),
+        i.table("events").select("event_id", "event_type", "ts"), ["event_type"], [C("ts"), C("event_id")], F.date_trunc("minute", "ts"), "run_number"),
     "SELECT event_id, event_type, ts, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS run_number FROM events")
 
 

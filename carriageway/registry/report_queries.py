@@ -89,13 +89,14 @@ add("r09_corridor_ranking", lambda i: reports.corridor_ranking(i.rates), using("
     "cast(rank() OVER (PARTITION BY functional_class ORDER BY incidents_per_100m_vmt DESC NULLS LAST) AS int) "
     "AS safety_rank_in_class FROM geo_rates "
     "ORDER BY geo_rates.incidents_per_100m_vmt DESC NULLS LAST, seg_route_id, functional_class, area_type LIMIT 30")))
-add("r10_bridge_risk_by_zone", lambda i: reports.bridge_risk_by_zone(i.placed_bridges), using("geo_bridges", (
+add("r10_bridge_risk_by_zone", lambda i: reports.bridge_risk_by_zone(i.placed_bridges).withColumn(
+        "p1_bridge_ids", F.array_join("p1_bridge_ids", ",")), using("geo_bridges", (
     "SELECT taz_id, zone_type, state_code, count(bridge_id) AS bridge_count, "
     + cnt("worst_condition = 'Poor'") + f" AS poor_condition_bridges, {rnd('avg(risk_score)', 1)} AS avg_risk_score, "
     f"{rnd('avg(sufficiency_rating)', 1)} AS avg_sufficiency, max(taz_population) AS taz_population, "
     f"max(taz_vehicle_trips) AS taz_vehicle_trips, {rnd('sum(population_at_risk_score)', 0)} AS total_pop_at_risk_score, "
     f"{big('avg_daily_traffic')} AS total_bridge_aadt, "
-    "coalesce(list_sort(list(bridge_id) FILTER (WHERE priority_tier = 'Priority 1 – Immediate')), []) AS p1_bridge_ids "
+    "array_to_string(coalesce(list_sort(list(bridge_id) FILTER (WHERE priority_tier = 'Priority 1 – Immediate')), []), ',') AS p1_bridge_ids "
     "FROM geo_bridges GROUP BY 1, 2, 3 HAVING count(bridge_id) >= 2 "
     "ORDER BY total_pop_at_risk_score DESC NULLS LAST, taz_id, zone_type, state_code LIMIT 25")))
 add("r11_coarse_rollup", lambda i: reports.coarse_rollup(i.cells), using("geo_cells", (

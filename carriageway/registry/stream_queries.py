@@ -63,10 +63,10 @@ add("t04_row_enrichment", lambda i: jobs.drain(jobs.enriched_incidents(stream(i,
         "incident_id", "incident_type", "incident_year", "is_weekend", "has_fatality", "milepost"),
     using("fx_incidents", "SELECT incident_id, upper(trim(incident_type)) AS incident_type, cast(year(incident_datetime) AS int) AS incident_year, "
           "dayofweek(incident_datetime) IN (0, 6) AS is_weekend, fatalities > 0 AS has_fatality, milepost FROM fx_incidents"))
-add("t05_stream_dedupe", lambda i: jobs.drain(jobs.deduplicated(stream(i, "pavement"), "segment_id"), "dedupe").select("segment_id", "iri"),
+add("t05_stream_dedupe", lambda i: jobs.drain(jobs.deduplicated(stream(i, "pavement"), "segment_id", None), "dedupe").select("segment_id", "iri"),
     using("fx_pavement", "SELECT DISTINCT segment_id, iri FROM fx_pavement"))
 add("t05_stream_dedupe_bounded", lambda i: jobs.drain(jobs.deduplicated(
-        jobs.sensor_readings(event_stream(i)).withColumn("half", F.floor(C("event_id") / 2)), "half", "ts"), "dedupe-bounded").select("half"),
+        jobs.bronze(event_stream(i)).withColumn("half", F.floor(C("event_id") / 2)), "half"), "dedupe-bounded").select("half"),
     "SELECT DISTINCT cast(floor(event_id / 2) AS bigint) AS half FROM events")
 GOLD_SQL = using("stream_silver", (
     f"SELECT state_code, incident_year, incident_month, incident_type, count(incident_id) AS total_incidents, "
@@ -76,10 +76,10 @@ GOLD_SQL = using("stream_silver", (
 
 def silver_chain(i: Inputs) -> dict[str, DataFrame]:
     return jobs.table_chain(stream(i, "incidents"), {
-        "bronze": jobs.bronze, "silver": lambda df: jobs.silver_incidents(df)})
+        "bronze": jobs.bronze, "silver": jobs.silver_incidents})
 
 
-add("t06_gold_from_stream", lambda i: steady(jobs.monthly_rollup(jobs.drain(jobs.silver_incidents(stream(i, "incidents")), "silver"))), GOLD_SQL)
+add("t06_gold_from_stream", lambda i: steady(jobs.monthly_rollup(jobs.drain(jobs.silver_incidents(jobs.bronze(stream(i, "incidents"))), "silver"))), GOLD_SQL)
 add("t07_available_now_trigger", lambda i: jobs.drain(event_stream(i).select("event_id", "value"), "now"), "SELECT event_id, value FROM events")
 
 
@@ -147,9 +147,9 @@ add("p17_stream_bronze_incidents", lambda i: steady(jobs.drain(jobs.bronze(strea
         "road_condition weather_condition fatalities injuries vehicles_involved status") + " FROM fx_incidents"))
 add("p17_stream_bronze_bridges", lambda i: jobs.drain(jobs.bronze(stream(i, "bridges")), "p17b").select("bridge_id", "state_code", "year_built"),
     using("fx_bridges", "SELECT bridge_id, state_code, year_built FROM fx_bridges"))
-add("p18_stream_silver_incidents", lambda i: jobs.drain(jobs.silver_incidents(stream(i, "incidents")), "p18").select(*SILVER_KEEP),
+add("p18_stream_silver_incidents", lambda i: jobs.drain(jobs.silver_incidents(jobs.bronze(stream(i, "incidents"))), "p18").select(*SILVER_KEEP),
     using("stream_silver", "SELECT * FROM stream_silver"))
-add("p19_stream_silver_bridges", lambda i: steady(jobs.drain(jobs.silver_bridges(stream(i, "bridges")), "p19").select(
+add("p19_stream_silver_bridges", lambda i: steady(jobs.drain(jobs.silver_bridges(jobs.bronze(stream(i, "bridges"))), "p19").select(
         "bridge_id", "state_code", "bridge_age_years", "days_since_inspection", "inspection_overdue", "risk_score")),
     using("fx_bridges", "SELECT bridge_id, state_code, 2024 - year_built AS bridge_age_years, "
           "cast(date_diff('day', cast(last_inspection_date AS date), DATE '2024-12-31') AS int) AS days_since_inspection, "

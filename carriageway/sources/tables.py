@@ -28,6 +28,16 @@ def scan(
     return df.select(*columns) if columns else df
 
 
+def dealt_out(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the scan alone would keep most of them idle.
+
+    A file of one row group is one task, however many cores there are. With at
+    least one split per core, as in any large table, nothing is moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def scan_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 

@@ -37,6 +37,7 @@ BRIDGE_SHOULD = {
     "valid_sufficiency": "sufficiency_rating BETWEEN 0 AND 100",
 }
 LATE = "10 minutes"
+ARRIVAL, REPEATS_WITHIN = "_ingest_time", "1 day"
 WINDOW = "5 minutes"
 CONGESTION_BANDS = [(15, "Severe"), (30, "Heavy"), (45, "Moderate")]
 FREE_FLOW = "Free Flow"
@@ -60,8 +61,13 @@ def bronze(df: DataFrame) -> DataFrame:
     return df.withColumn("_ingest_time", F.current_timestamp())
 
 
-def deduplicated(df: DataFrame, key: str, when: str | None = None, late: str = LATE) -> DataFrame:
-    """First record per key. With an event time the state is dropped once it is ``late``."""
+def deduplicated(df: DataFrame, key: str, when: str | None = ARRIVAL, late: str = REPEATS_WITHIN) -> DataFrame:
+    """First record per key among those arriving within ``late`` of each other.
+
+    The state of a key is dropped after that time. The arrival stamp makes a
+    safe clock: no record is late by it. ``when=None`` keeps every key for
+    ever, as the published pipeline does.
+    """
     if when is None:
         return df.dropDuplicates([key])
     return df.withWatermark(when, late).dropDuplicatesWithinWatermark([key])
@@ -81,7 +87,7 @@ def enriched_incidents(df: DataFrame) -> DataFrame:
     })
 
 
-def silver_incidents(df: DataFrame, when: str | None = None, late: str = LATE) -> DataFrame:
+def silver_incidents(df: DataFrame, when: str | None = ARRIVAL, late: str = REPEATS_WITHIN) -> DataFrame:
     """P18."""
     return deduplicated(enriched_incidents(keep_expected(df, INCIDENT_MUST)), "incident_id", when, late)
 
@@ -95,7 +101,7 @@ def enriched_bridges(df: DataFrame) -> DataFrame:
     }).withColumn("inspection_overdue", F.col("days_since_inspection") > INSPECTION_CYCLE_DAYS)
 
 
-def silver_bridges(df: DataFrame, when: str | None = None, late: str = LATE) -> DataFrame:
+def silver_bridges(df: DataFrame, when: str | None = ARRIVAL, late: str = REPEATS_WITHIN) -> DataFrame:
     """P19."""
     return deduplicated(enriched_bridges(keep_expected(df, BRIDGE_MUST)), "bridge_id", when, late)
 
