@@ -28,13 +28,19 @@ def edge_km(res: int) -> float:
     return EDGE_KM_R8 * math.sqrt(7.0) ** (8 - res)
 
 
-def hex_cell(lat: Column | str, lon: Column | str, res: int) -> Column:
-    """Cell holding a point; NULL if a coordinate is."""
-    edge = edge_km(res)
-    x = (as_col(lon) - F.lit(ORIGIN_LON)) * F.lit(KM_PER_DEG_LON)
-    y = (as_col(lat) - F.lit(ORIGIN_LAT)) * F.lit(KM_PER_DEG_LAT)
-    q = (F.lit(math.sqrt(3) / 3) * x - y / F.lit(3.0)) / F.lit(edge)
-    r = (F.lit(2.0 / 3.0) * y) / F.lit(edge)
+def _km(lat: Column, lon: Column) -> tuple[Column, Column]:
+    """Kilometres east and north of the grid origin."""
+    return (lon - F.lit(ORIGIN_LON)) * F.lit(KM_PER_DEG_LON), (lat - F.lit(ORIGIN_LAT)) * F.lit(KM_PER_DEG_LAT)
+
+
+def _axial_of(x: Column, y: Column, res: int) -> tuple[Column, Column]:
+    """Fractional axial coordinates."""
+    edge = F.lit(edge_km(res))
+    return (F.lit(math.sqrt(3) / 3) * x - y / F.lit(3.0)) / edge, (F.lit(2.0 / 3.0) * y) / edge
+
+
+def _nearest_id(q: Column, r: Column, res: int) -> Column:
+    """Id of the cell nearest to fractional axial coordinates."""
     s = -q - r
     near_q, near_r, near_s = (F.floor(v + F.lit(0.5)) for v in (q, r, s))
     off_q, off_r, off_s = F.abs(near_q - q), F.abs(near_r - r), F.abs(near_s - s)
@@ -45,11 +51,26 @@ def hex_cell(lat: Column | str, lon: Column | str, res: int) -> Column:
     return F.concat(F.lit(f"{res}:"), cell_q.cast("string"), F.lit(":"), cell_r.cast("string"))
 
 
+def hex_cell(lat: Column | str, lon: Column | str, res: int) -> Column:
+    """Cell holding a point; NULL if a coordinate is."""
+    return _nearest_id(*_axial_of(*_km(as_col(lat), as_col(lon)), res), res)
+
+
 def with_cells(
     df: DataFrame, resolutions=(6, 7, 8), lat: str = "latitude", lon: str = "longitude", prefix: str = "h3_index_r"
 ) -> DataFrame:
-    """Cell columns at several resolutions in one projection."""
-    return df.withColumns({f"{prefix}{res}": hex_cell(lat, lon, res) for res in resolutions})
+    """Cell columns at several resolutions.
+
+    In two projections: the id uses each axial coordinate many times, and one
+    nested expression would repeat the whole arithmetic each time.
+    """
+    axial_columns = {}
+    for res in resolutions:
+        q, r = _axial_of(*_km(F.col(lat), F.col(lon)), res)
+        axial_columns |= {f"_q{res}": q, f"_r{res}": r}
+    placed = df.withColumns(axial_columns)
+    ids = {f"{prefix}{res}": _nearest_id(F.col(f"_q{res}"), F.col(f"_r{res}"), res) for res in resolutions}
+    return placed.withColumns(ids).drop(*axial_columns)
 
 
 def axial(cell: Column | str) -> tuple[Column, Column, Column]:

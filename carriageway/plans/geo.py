@@ -55,10 +55,16 @@ def cell_risk_tier() -> Column:
     return F.when(deaths >= DEATH_TIERS[-1][0], banded(deaths, ">=", DEATH_TIERS, "Low")).otherwise(volume)
 
 
+def placed_only(df: DataFrame) -> DataFrame:
+    """Rows that have a cell. Asked of the coordinates, not of the cell id: the test then
+    reaches the scan and the id is computed once."""
+    return df.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+
+
 def cell_density(enriched: DataFrame, stamp: bool = True) -> DataFrame:
     """P12."""
     cells = rollup_by(
-        enriched.where(F.col("h3_index_r8").isNotNull()), ["h3_index_r8", "h3_index_r6", "state_code"], {
+        placed_only(enriched), ["h3_index_r8", "h3_index_r6", "state_code"], {
             "incident_count": F.count("incident_id"),
             "total_fatalities": F.sum("fatalities"),
             "total_injuries": F.sum("injuries"),
@@ -104,7 +110,7 @@ def corridor_safety(
     Incidents have one cell each, so they are totalled per cell first; the join
     sees cells, never incidents.
     """
-    by_cell = rollup_by(enriched.where(F.col("h3_index_r8").isNotNull()), ["h3_index_r8"], {
+    by_cell = rollup_by(placed_only(enriched), ["h3_index_r8"], {
         "_n": F.count("incident_id"),
         "_dead": F.sum("fatalities"),
         "_hurt": F.sum("injuries"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from carriageway.functions.geometry import line_wkt
 from carriageway.functions.times import AS_OF, at_midnight
+from carriageway.operators.settle import settled
 from carriageway.plans.feeds import INCIDENT_ITEM
 from carriageway.registry.check_sql import using
 from carriageway.registry.core import Inputs, add, query
@@ -215,7 +216,7 @@ def _(i):
     "SELECT h3_index_r8, state_code, incident_count, 7 AS n_points FROM geo_cells")))
 def _(i):
     path = shared_dir(i.spark, "cells")
-    cells = i.cells.select("h3_index_r8", "state_code", "incident_count")
+    cells = settled(i.cells.select("h3_index_r8", "state_code", "incident_count"), "cells")
     bad = i.table("region").select(F.lit("no cell").alias("h3_index_r8"), C("r_name").alias("state_code"), F.lit(1).cast("long").alias("incident_count"))
     sinks.export_geojson(sinks.cells_as_polygons(cells.unionByName(bad), "h3_index_r8"), "geometry_wkt", path)
     item = (
