@@ -39,18 +39,25 @@ def truthy(predicate: Column) -> Column:
     return F.coalesce(predicate, F.lit(False))
 
 
+def _spare_scale(digits: int) -> int:
+    """Decimal places kept before rounding: always some beyond the ones asked for."""
+    return 6 if digits <= 4 else 10
+
+
 def rounded(value: Column | str, digits: int) -> Column:
     """Half-up rounding of a bounded per-row number, equal in other SQL engines.
 
-    The value passes through a long-backed decimal first, so binary noise
-    around a tie cannot flip the last digit. Range: below 10^12.
+    The value passes through a decimal first, so binary noise around a tie
+    cannot flip the last digit. Up to four digits the decimal is long-backed.
+    Range: below 10^12.
     """
-    return F.round(as_col(value).cast("decimal(18,6)"), digits).cast("double")
+    scale = _spare_scale(digits)
+    return F.round(as_col(value).cast(f"decimal({12 + scale},{scale})"), digits).cast("double")
 
 
 def rounded_total(value: Column | str, digits: int) -> Column:
     """As ``rounded``, for sums over any number of rows."""
-    return F.round(as_col(value).cast("decimal(38,6)"), digits).cast("double")
+    return F.round(as_col(value).cast(f"decimal(38,{_spare_scale(digits)})"), digits).cast("double")
 
 
 def ratio(numerator: Column | str, denominator: Column | str) -> Column:

@@ -35,7 +35,7 @@ def using(names: str, body: str) -> str:
 
 def rnd(expr: str, digits: int) -> str:
     """Half-up rounding of a double, as ``functions.rules`` does it."""
-    return f"cast(round(cast({expr} AS decimal(38,6)), {digits}) AS double)"
+    return f"cast(round(cast({expr} AS decimal(38,{6 if digits <= 4 else 10})), {digits}) AS double)"
 
 
 def cols(spec: str) -> str:

@@ -105,7 +105,7 @@ add("p13_corridor_safety_once_per_incident",
                      .drop("reference_aadt", "incidents_per_100m_vmt")),
     using("geo_pairs_once", "SELECT seg_route_id, functional_class, area_type, count(*) AS incidents_on_corridor, "
           "cast(sum(fatalities) AS bigint) AS fatalities_on_corridor, cast(sum(injuries) AS bigint) AS injuries_on_corridor, "
-          "cast(round(cast(avg(severity_score) AS decimal(38,6)), 6) AS double) AS avg_severity, "
+          f"{rnd('avg(severity_score)', 6)} AS avg_severity, "
           "count(*) FILTER (WHERE has_fatality) AS fatal_incidents FROM geo_pairs_once GROUP BY 1, 2, 3"))
 add("p14_hotspots", lambda i: steady(i.spots), using("geo_spots", "SELECT " + cols(
     CELL_COLS + " *mean_density *stddev_density *z_score is_hotspot is_cold_spot hotspot_class") + " FROM geo_spots"))
