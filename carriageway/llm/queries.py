@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carriageway.llm import quality_rules
+from carriageway.llm import html_text, quality_rules, warc
 from carriageway.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,16 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+@query
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
+@query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(table(spark, sf_dir, "documents"))
