@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carriageway.llm import html_text, quality_rules, warc
+from carriageway.llm import html_text, packing, quality_rules, sharding, warc
 from carriageway.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,11 +23,21 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extracted(table(spark, sf_dir, "pages"))
 
 
+@query
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+@query
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(table(spark, sf_dir, "documents"))
