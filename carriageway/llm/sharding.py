@@ -29,6 +29,8 @@ from carriageway.operators.settle import settled
 SHARDS = 8
 TURNS = 6
 SLICE_ROWS = 16384
+#: While rows move, a shard may hold this much over its even share; evening out takes unlinked rows away again.
+SLACK = 0.1
 #: Groups with more than this share of a shard are granted row by row.
 HEAVY_SHARE = 1 / 64
 
@@ -59,14 +61,14 @@ def propagated(rows: DataFrame, links: DataFrame, n: int, shards: int, turns: in
 
     ``rows`` has row, group (its first link or null) and heavy; ``links`` has row and group.
     """
-    quota = -(-n // shards)
+    quota = int((1 + SLACK) * n / shards) + 1
     now = settled(rows.withColumn("shard", F.pmod(F.xxhash64(F.lit("start"), "row"), F.lit(shards)).cast("int")), "sharding-start")
     for turn in range(turns):
         placed = links.join(now.select(F.col("row").alias("row_of"), "shard"), F.col("row") == F.col("row_of"))
         held = placed.groupBy("group", "shard").agg(F.count(F.lit(1)).alias("held"))
-        best = held.groupBy("group").agg(F.max_by("shard", F.struct("held", -F.col("shard"))).alias("best"), F.max("held").alias("held"))
+        best = held.groupBy("group").agg(F.max_by("shard", F.struct(F.col("held"), F.xxhash64("group", "shard"))).alias("best"), F.max("held").alias("held"))
         votes = (links.join(best, "group").groupBy("row", "best").agg(F.sum("held").alias("held"))
-                 .groupBy("row").agg(F.max_by("best", F.struct("held", -F.col("best"))).alias("wish")))
+                 .groupBy("row").agg(F.max_by("best", F.struct(F.col("held"), F.xxhash64("row", "best"))).alias("wish")))
         asked = now.join(votes.select(F.col("row").alias("row_of"), "wish"), F.col("row") == F.col("row_of"), "left").drop("row_of")
         asked = settled(asked.withColumn("wish", F.when(F.col("wish") != F.col("shard"), F.col("wish"))), "sharding-turn")
         # At most shards squared rows come back: the sums of what stays and what wants to move.
