@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carriageway.llm import html_text, packing, quality_rules, sharding, warc
+from carriageway.llm import html_text, packing, pii, quality_rules, sharding, warc
 from carriageway.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,11 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
