@@ -30,3 +30,12 @@ def shingle_hashes(words: Column, size: int, step_hash=F.xxhash64) -> Column:
     """
     starts = F.slice(words, F.lit(1), F.greatest(F.size(words) - F.lit(size - 1), F.lit(0)))
     return F.transform(starts, lambda x, i: step_hash(x, *[F.get(words, i + F.lit(k)) for k in range(1, size)]))
+
+
+#: Rows of a narrow table up to which it is broadcast: at most some tens of MB.
+BROADCAST_ROWS = 1_000_000
+
+
+def side(written: DataFrame) -> DataFrame:
+    """A written table of narrow rows as the small side of a join: broadcast if its counted rows allow, else joined by shuffle."""
+    return F.broadcast(written) if written.count() <= BROADCAST_ROWS else written.hint("merge")

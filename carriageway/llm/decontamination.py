@@ -11,8 +11,8 @@ similarity of shingles, counted exactly, decides.
 
 Column functions only. Documents with equal texts are one text here: copies
 meet in partial aggregation, and the verdict is joined back to all of them.
-The benchmark's shingles are a written table, so the planner knows their size:
-a small one is broadcast, a large one is joined by shuffle.
+The benchmark's shingles and the keys of texts with hits are written tables:
+counted ones of bounded size are broadcast, larger ones joined by shuffle.
 
 Defined results: null texts on either side are empty; items with fewer than
 five words have no shingle and match nothing; a text shorter than an item is
@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carriageway.llm.common import shingle_hashes, whole_text
+from carriageway.llm.common import shingle_hashes, side, whole_text
 from carriageway.operators.settle import settled
 
 SHINGLE = 5
@@ -93,7 +93,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, similarit
 
     texts = docs.select(F.md5(whole_text().cast("binary")).alias("key"), whole_text().alias("_t"))
     spots = shingled(texts, "_t").select("key", F.posexplode_outer("_h").alias("pos", "h"))
-    hits = settled(spots.join(known.withColumnRenamed("h", "known_h"), F.col("h") == F.col("known_h")).select("key", "pos", "h").distinct(), "leak-hits")
+    hits = settled(spots.join(side(known.withColumnRenamed("h", "known_h")), F.col("h") == F.col("known_h")).select("key", "pos", "h").distinct(), "leak-hits")
 
     places = parts.select("size", "at", F.col("h").alias("item_h")).distinct()
     starts = hits.join(places, F.col("h") == F.col("item_h")).select(
@@ -101,9 +101,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, similarit
                                              lambda d: F.greatest(F.col("pos") - F.col("at") + d, F.lit(0)))).alias("start")).distinct()
     starts = settled(starts, "leak-starts")
 
-    found = starts.select(F.col("key").alias("found_key")).distinct()
+    # Texts are not shuffled for the few that have hits, as long as their keys can be broadcast.
+    found = settled(starts.select(F.xxhash64("key").alias("found_key")).distinct(), "leak-texts")
     own = (docs.select(F.md5(whole_text().cast("binary")).alias("text_key"), whole_text().alias("_t"))
-           .join(found, F.col("text_key") == F.col("found_key"), "left_semi").groupBy("text_key").agg(F.first("_t").alias("_t")))
+           .join(side(found), F.xxhash64("text_key") == F.col("found_key"), "left_semi").groupBy("text_key").agg(F.first("_t").alias("_t")))
     # The window ends with the text; a start too late for a whole window moves forward.
     cut = (starts.join(shingled(own, "_t"), F.col("key") == F.col("text_key"))
            .withColumn("start", F.greatest(F.least("start", F.size("_h") - F.col("size")), F.lit(0))))
@@ -138,4 +139,4 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a leak, with the columns they came with."""
     found = settled(leaks(docs, benchmark).select(F.col("key").alias("leak_key")).distinct(), "leak-verdicts")
     keyed = docs.withColumn("_leak_key", F.md5(whole_text().cast("binary")))
-    return keyed.join(found, F.col("_leak_key") == F.col("leak_key"), "left_anti").select(*docs.columns)
+    return keyed.join(side(found), F.col("_leak_key") == F.col("leak_key"), "left_anti").select(*docs.columns)
