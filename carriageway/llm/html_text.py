@@ -273,15 +273,19 @@ def main_text(html: str | None) -> str:
             break
         at = below[0]
     inside = [k for k, x in enumerate(lines) if x[4] == at or at in ancestors(parser.parents, x[4]) or at == 0]
-    voted = [k for k in inside if votes[k]]
-    first, last = voted[0], voted[-1]
-    for k in reversed([k for k in inside if k < first]):
-        if lines[k][2] > LINK_SHARE * len(lines[k][0]):
-            break
-        if lines[k][6]:
-            first = k
-    keep = [k for k in inside if first <= k <= last and (votes[k] or lines[k][2] <= LINK_SHARE * len(lines[k][0]))]
-    return "\n".join(lines[k][0] for k in keep)
+    linked = {k for k in inside if lines[k][2] > LINK_SHARE * len(lines[k][0])}
+    if parser.holder_tags[at] in ("", "html", "body"):
+        # No element of its own holds the article: the region from the first to the last line voted for,
+        # with the headings before it and the lines that the smoothing reaches behind it.
+        voted = [k for k in inside if votes[k]]
+        first, last = voted[0], voted[-1] + RADIUS
+        for k in reversed([k for k in inside if k < first]):
+            if k in linked:
+                break
+            if lines[k][6]:
+                first = k
+        inside = [k for k in inside if first <= k <= last]
+    return "\n".join(lines[k][0] for k in inside if votes[k] or k not in linked)
 
 
 def ancestors(parents: list[int], at: int) -> Iterator[int]:
