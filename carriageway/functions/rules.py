@@ -99,22 +99,3 @@ def hash_draw(key: Column, salt: Column | str) -> Column:
     salt = F.lit(salt) if isinstance(salt, str) else salt
     digest = F.md5(F.concat(key.cast("string"), F.lit("|"), salt))
     return F.conv(F.substring(digest, 1, 7), 16, 10).cast("double") / F.lit(268435456.0)
-
-
-def hash_pick(key: Column, salt: str, values: Sequence[str]) -> Column:
-    """Repeatable uniform choice from a fixed list."""
-    slot = F.floor(hash_draw(key, salt) * len(values)).cast("int") + 1
-    return F.element_at(F.array(*[F.lit(v) for v in values]), slot)
-
-
-def hash_int(key: Column, salt: str, low: int, high: int) -> Column:
-    """Repeatable integer in [low, high]."""
-    return (F.floor(hash_draw(key, salt) * (high - low + 1)) + low).cast("int")
-
-
-def hash_normal(key: Column, salt: Column | str) -> Column:
-    """Repeatable standard normal draw (Box-Muller on two uniform draws)."""
-    salt = F.lit(salt) if isinstance(salt, str) else salt
-    first = F.greatest(hash_draw(key, F.concat(salt, F.lit("u"))), F.lit(1e-9))
-    second = hash_draw(key, F.concat(salt, F.lit("v")))
-    return F.sqrt(F.lit(-2.0) * F.log(first)) * F.cos(F.lit(6.283185307179586) * second)

@@ -19,14 +19,14 @@ def top_rows_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]
 
 
 def one_row_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Any one row per key.
+    """One row per key, the same one in every run: the least by a hash of all columns.
 
     A row number cut to 1 rather than ``dropDuplicates``: that aggregates the
     first value of every column, which for text columns sorts and rebuilds each
     row on both sides of the shuffle. Here rows are only sorted, and each map
     task still sends one row per key at most.
     """
-    return top_rows_per_key(df, keys, [F.col(keys[0])])
+    return top_rows_per_key(df, keys, [F.xxhash64(*df.columns)])
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], when: str, *tie_break: str) -> DataFrame:

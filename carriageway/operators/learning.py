@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carriageway.functions.rules import hash_draw
+from carriageway.operators.ordered import running_totals, value_slice
 
 SEED = 42
 TEST_SHARE = 0.2
@@ -85,6 +86,18 @@ def impute_numbers(columns: Sequence[str]) -> Imputer:
     return Imputer(strategy="median", inputCols=list(columns), outputCols=[f"{c}_full" for c in columns])
 
 
+def impute_median(df: DataFrame, column: str, out: str) -> DataFrame:
+    """L5. Missing numbers become the exact lower median of the column.
+
+    Values are counted first and ranked in slices; the driver sees one number.
+    """
+    counted = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_rows"))
+    ranked = running_totals(counted.withColumn("_all", F.lit(0)), ["_all"], [F.col(column)], value_slice(column), {"_upto": F.col("_rows")})
+    half = F.ceil(ranked.agg(F.max("_upto")).scalar() / 2)
+    median = ranked.where(F.col("_upto") >= half).agg(F.min(column)).scalar()
+    return df.withColumn(out, F.coalesce(column, median))
+
+
 def feature_stages(categories: Sequence[str], numbers: Sequence[str], numeric: str = "scale") -> list:
     """Encoders and one ``features`` vector. ``numeric`` is ``scale`` or ``impute``."""
     onehot = [f"{c}_1h" for c in categories]
@@ -163,6 +176,11 @@ def score_table(model: Model, df: DataFrame, keep: Sequence[str], out: str) -> D
     return model.transform(df).select(*keep, F.col("prediction").alias(out))
 
 
+def signature(frame: DataFrame, inputs: Sequence[str]) -> T.StructType:
+    """L27. Names and types of all input columns of a model."""
+    return T.StructType([frame.schema[c] for c in inputs])
+
+
 def missing_inputs(df: DataFrame, signature: T.StructType) -> list[str]:
     """L27. Differences between a table and a model's input signature, empty if none."""
     have = {f.name: f.dataType for f in df.schema.fields}

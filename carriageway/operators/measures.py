@@ -27,8 +27,3 @@ def sum_where(predicate: Column, value: Column | str) -> Column:
 def share_where(predicate: Column) -> Column:
     """Share of rows for which the predicate is true."""
     return F.avg(F.when(predicate, F.lit(1.0)).otherwise(F.lit(0.0)))
-
-
-def sorted_list(value: Column) -> Column:
-    """Values of a group as an ordered array, NULL skipped."""
-    return F.array_sort(F.collect_list(value))

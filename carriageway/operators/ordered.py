@@ -121,9 +121,14 @@ def rank_desc(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataF
 
 
 def value_slice(value: str, steps_per_octave: int = 64) -> Column:
-    """Slice number of a number of unknown range: steps on a signed log scale."""
+    """Slice number of a number of unknown range: steps on a signed log scale.
+
+    NaN and infinity get the outermost slices: as in Spark's order, NaN is above every number.
+    """
     v = F.col(value).cast("double")
-    return (F.signum(v) * F.floor(F.log2(F.abs(v) + 1) * steps_per_octave)).cast("long")
+    top = 1100 * steps_per_octave
+    return F.when(F.isnan(v), top + 1).when(F.abs(v) == float("inf"), F.signum(v).cast("long") * top).otherwise(
+        (F.signum(v) * F.floor(F.log2(F.abs(v) + 1) * steps_per_octave)).cast("long"))
 
 
 def spread_scores(df: DataFrame, keys: Sequence[str], value: str, mean: str, spread: str) -> DataFrame:

@@ -57,12 +57,11 @@ def numeric_drift(baseline: DataFrame, current: DataFrame, columns: Sequence[str
     """Shift of mean and null share per numeric column between two snapshots."""
 
     def side(df: DataFrame, tag: str) -> DataFrame:
-        part = profile(df, columns)
-        return part.select(
-            "column_name",
-            F.col("mean_value").alias(f"{tag}_mean"),
-            ratio("null_count", "row_count").alias(f"{tag}_null_rate"),
-        )
+        measures = [m for i, c in enumerate(columns) for m in (F.avg(c).alias(f"mean_{i}"), F.count(c).alias(f"present_{i}"))]
+        rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"mean_{i}").alias(f"{tag}_mean"),
+                         ratio(F.col("row_count") - F.col(f"present_{i}"), "row_count").alias(f"{tag}_null_rate"))
+                for i, c in enumerate(columns)]
+        return df.agg(F.count(F.lit(1)).alias("row_count"), *measures).select(F.inline(F.array(*rows)))
 
     return side(baseline, "baseline").join(side(current, "current"), "column_name", "inner").select(
         "*",
@@ -87,13 +86,11 @@ def category_drift(baseline: DataFrame, current: DataFrame, columns: Sequence[st
         ])),
     )
     shares = long.groupBy("column_name", "category").agg(F.sum("_b").alias("b"), F.sum("_c").alias("c"))
-    # Snapshot sizes are one-row scalar subqueries, not a join.
-    gap = F.abs(
-        ratio(F.col("b"), baseline.agg(F.count(F.lit(1))).scalar())
-        - ratio(F.col("c"), current.agg(F.count(F.lit(1))).scalar())
-    )
+    # The sizes of the snapshots are the sums of their category counts.
+    sizes = shares.groupBy("column_name").agg(F.sum("b").alias("all_b"), F.sum("c").alias("all_c"))
+    gap = F.abs(ratio(F.col("b"), F.col("all_b")) - ratio(F.col("c"), F.col("all_c")))
     return (
-        shares.withColumn("gap", gap)
+        shares.join(sizes, "column_name").withColumn("gap", gap)
         .groupBy("column_name")
         .agg((F.sum("gap") / 2).alias("tv_distance"), F.count(F.lit(1)).alias("categories"))
     )

@@ -16,7 +16,7 @@ from carriageway.functions.times import AS_OF, at_midnight, in_hours
 from carriageway.operators.measures import rollup_by
 from carriageway.operators.ordered import next_values, running_totals, spread_scores
 from carriageway.operators.settle import settled
-from carriageway.operators.spatial import hotspot_class, near_cells, same_cell_during
+from carriageway.operators.spatial import hotspot_class, near_cells
 from carriageway.plans.gold import NIGHT
 
 # Cell risk tiers, ring reach, zone radius factor, traffic bands.
@@ -125,6 +125,7 @@ def corridor_safety(
     weight = F.lit(1) if each_incident_once else F.col("_segments")
     cells = pairs.groupBy(*corridor, "_cell").agg(
         F.count(F.lit(1)).alias("_segments"),
+        F.count("aadt").alias("_counted"),
         F.sum(F.col("aadt").cast("double")).alias("_aadt"),
         *[F.max(c).alias(c) for c in ("_n", "_dead", "_hurt", "_severity", "_fatal")],
     )
@@ -134,7 +135,7 @@ def corridor_safety(
         F.sum(F.col("_hurt") * weight).alias("injuries_on_corridor"),
         ratio(F.sum(F.col("_severity") * weight), F.sum(F.col("_n") * weight)).alias("avg_severity"),
         F.sum(F.col("_fatal") * weight).alias("fatal_incidents"),
-        ratio(F.sum(F.col("_aadt") * F.col("_n")), F.sum(F.col("_segments") * F.col("_n"))).alias("reference_aadt"),
+        ratio(F.sum(F.col("_aadt") * F.col("_n")), F.sum(F.col("_counted") * F.col("_n"))).alias("reference_aadt"),
     )
     rate = F.when(
         F.col("reference_aadt") > 0,
@@ -193,7 +194,9 @@ def bridges_with_zone(bridges: DataFrame, zones: DataFrame, stamp: bool = True)
         column_or(located, "avg_daily_traffic", traffic),
         "latitude", "longitude", "geometry_wkt", "h3_index_r7",
     )
-    joined = shaped.join(centre, F.col("h3_index_r7") == F.col("_zone_cell"), "left").drop("_zone_cell")
+    # Bridges without a cell match nothing and stay out of the join, where they would be one hot key.
+    placed = shaped.where(F.col("h3_index_r7").isNotNull()).join(centre, F.col("h3_index_r7") == F.col("_zone_cell"), "left").drop("_zone_cell")
+    joined = placed.unionByName(shaped.where(F.col("h3_index_r7").isNull()), allowMissingColumns=True)
     at_risk = rounded(F.col("taz_population") * (F.col("risk_score") / 100), 0)
     return _stamped(joined.withColumn("population_at_risk_score", at_risk), stamp)
 
@@ -205,26 +208,38 @@ def work_zone_status(as_of: date = AS_OF) -> Column:
     )
 
 
-def work_zone_conflicts(
-    enriched: DataFrame, work_zones: DataFrame, salts: int = 8, stamp: bool = True
-) -> DataFrame:
-    """P16. Incidents in the cell of an active work zone while it is open."""
+def work_zone_conflicts(enriched: DataFrame, work_zones: DataFrame, stamp: bool = True) -> DataFrame:
+    """P16. Incidents in the cell of an active work zone while it is open.
+
+    Whole days inside a zone's time are read from totals per cell and day, so
+    the join grows with days, not incidents; only the first and the last day
+    of a zone are compared by incident.
+    """
+    zone = ["work_zone_id", "zone_type", "wz_route", "speed_limit_in_zone"]
     active = work_zones.where(F.col("status") == "Active").select(
         "work_zone_id", "zone_type", F.col("route_id").alias("wz_route"), "speed_limit_in_zone",
         F.col("h3_index_r8").alias("_zone_cell"), "start_date", "end_date",
+        F.to_date("start_date").alias("_first"), F.to_date("end_date").alias("_last"),
     )
-    points = enriched.select(
-        "incident_id", "h3_index_r8", "incident_datetime", "fatalities", "injuries", "severity_score"
-    )
-    hits = same_cell_during(
-        points, active, "h3_index_r8", "_zone_cell", "incident_datetime", "start_date", "end_date",
-        [F.col("incident_id")], salts,
+    points = enriched.where(F.col("h3_index_r8").isNotNull()).select(
+        "h3_index_r8", "incident_datetime", F.to_date("incident_datetime").alias("_day"),
+        F.col("incident_id").isNotNull().cast("long").alias("_n"), F.col("fatalities").cast("long").alias("_dead"),
+        F.col("injuries").cast("long").alias("_hurt"), F.col("severity_score").alias("_severity"),
+        F.col("severity_score").isNotNull().cast("long").alias("_rated"),
     )
-    mart = rollup_by(hits, ["work_zone_id", "zone_type", "wz_route", "speed_limit_in_zone"], {
-        "wz_incident_count": F.count("incident_id"),
-        "wz_fatalities": F.sum("fatalities"),
-        "wz_injuries": F.sum("injuries"),
-        "wz_avg_severity": F.avg("severity_score"),
+    sums = ["_n", "_dead", "_hurt", "_severity", "_rated"]
+    daily = points.groupBy("h3_index_r8", "_day").agg(*[F.sum(c).alias(c) for c in sums])
+    same_cell = F.col("h3_index_r8") == F.col("_zone_cell")
+    inside = daily.join(active, same_cell & (F.col("_day") > F.col("_first")) & (F.col("_day") < F.col("_last")))
+    edges = active.withColumn("_edge", F.explode(F.array_distinct(F.array("_first", "_last"))))
+    border = points.join(edges, same_cell & (F.col("_day") == F.col("_edge"))
+                         & F.col("incident_datetime").between(F.col("start_date"), F.col("end_date")))
+    parts = inside.select(*zone, *sums).unionByName(border.select(*zone, *sums))
+    mart = rollup_by(parts, zone, {
+        "wz_incident_count": F.sum("_n"),
+        "wz_fatalities": F.sum("_dead"),
+        "wz_injuries": F.sum("_hurt"),
+        "wz_avg_severity": ratio(F.sum("_severity"), F.sum("_rated")),
     })
     return _stamped(mart, stamp)
 

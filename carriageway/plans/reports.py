@@ -10,7 +10,7 @@ from carriageway.functions.geometry import (
 )
 from carriageway.functions.rules import banded, change_pct, looked_up, ratio, rounded, rounded_total, tally, trend_arrow
 from carriageway.functions.times import DAY_NAMES
-from carriageway.operators.measures import rollup_by, sorted_list
+from carriageway.operators.measures import rollup_by
 from carriageway.operators.ordered import beside, rank_desc
 from carriageway.operators.settle import settled
 from carriageway.operators.spatial import inside_polygons, uncovered
@@ -195,9 +195,10 @@ def corridor_ranking(rates: DataFrame, k: int = 30) -> DataFrame:
 
 
 def bridge_risk_by_zone(placed: DataFrame, k: int = 25, least_bridges: int = 2) -> DataFrame:
-    """R10. The id lists are gathered for the reported zones only."""
+    """R10. One row per reported zone and first-priority bridge; a zone without one has a single row with a NULL id."""
     keys = ["taz_id", "zone_type", "state_code"]
-    totals = rollup_by(placed, keys, {
+    base = settled(placed, "placed-bridges")
+    totals = rollup_by(base, keys, {
         "bridge_count": F.count("bridge_id"),
         "poor_condition_bridges": tally(F.col("worst_condition") == "Poor"),
         "avg_risk_score": rounded_total(F.avg("risk_score"), 1),
@@ -209,19 +210,8 @@ def bridge_risk_by_zone(placed: DataFrame, k: int = 25, least_bridges: int = 2)
     }).where(F.col("bridge_count") >= least_bridges)
     order = [F.col("total_pop_at_risk_score").desc_nulls_last(), *[F.col(k_) for k_ in keys]]
     top = settled(totals.orderBy(*order).limit(k), "risk-zones")
-    wanted = top.select(*[F.col(c).alias(f"_{c}") for c in keys])
-    same = F.lit(True)
-    for c in keys:
-        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    # The list side: first-priority bridges of at most k zones.
-    listed = (
-        placed.where(F.col("priority_tier") == URGENT_BRIDGES[0])
-        .join(wanted, same, "left_semi")
-        .groupBy(*keys)
-        .agg(sorted_list(F.col("bridge_id")).alias("p1_bridge_ids"))
-    )
-    none = F.array().cast("array<string>")
-    return beside(top, listed, keys).withColumn("p1_bridge_ids", F.coalesce("p1_bridge_ids", none)).orderBy(*order)
+    urgent = base.where(F.col("priority_tier") == URGENT_BRIDGES[0]).select(*keys, F.col("bridge_id").alias("p1_bridge_id"))
+    return beside(top, urgent, keys).orderBy(*order, "p1_bridge_id")
 
 
 def coarse_rollup(cells: DataFrame) -> DataFrame:
@@ -366,13 +356,24 @@ def bridges_by_type(health: DataFrame) -> DataFrame:
     }).orderBy(F.desc("bridge_count"), "bridge_type")
 
 
-def worst_pavement_counties(needs: DataFrame, k: int = 10) -> DataFrame:
-    """R19: counties with the worst pavement, by mean rating weighted by segments."""
+def worst_pavement_counties(needs: DataFrame) -> DataFrame:
+    """R19: all counties, worst pavement first, by mean rating weighted by segments."""
     return rollup_by(needs, ["state_code", "county_code"], {
         "segments": F.sum("segment_count"),
         "avg_pcr": rounded_total(ratio(F.sum(F.col("avg_pcr") * F.col("segment_count")), F.sum("segment_count")), 4),
         "total_cost_usd": rounded_total(F.sum("total_estimated_cost_usd"), 2),
-    }).orderBy("avg_pcr", "state_code", "county_code").limit(k)
+    }).orderBy("avg_pcr", "state_code", "county_code")
+
+
+def top_fatal_corridors(corridors: DataFrame, k: int = 10) -> DataFrame:
+    """R19: the ten highest-risk corridors by fatalities."""
+    return corridors.orderBy(F.desc("total_fatalities"), "state_code", "route_id", "county_code").limit(k).select(
+        "state_code", "route_id", "county_code", "incident_count", "total_fatalities", "risk_tier")
+
+
+def state_scorecard(card: DataFrame, state: str = "NC") -> DataFrame:
+    """R19: the executive scorecard of one state."""
+    return scorecard_preview(card.where(F.col("state_code") == state))
 
 
 def electric_count(fleet: DataFrame) -> DataFrame:

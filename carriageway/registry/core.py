@@ -14,7 +14,6 @@ from carriageway.functions.rules import rounded_total
 from carriageway.plans import geo, gold, modelled, silver
 from carriageway.session import pin_utc
 from carriageway.sources.domain import VIEWS
-from carriageway.sources.tables import dealt_out
 
 # Day at which work zones count as open: the incidents of the test data end in January 2024.
 WORK_ZONE_DAY = date(2023, 12, 31)
@@ -41,10 +40,7 @@ class Inputs:
 
     def fx(self, name: str) -> DataFrame:
         base, columns = VIEWS[f"fx_{name}"]
-        source = self.table(base)
-        if base in ("events", "orders", "lineitem"):
-            source = dealt_out(source)
-        return source.selectExpr(*[f"{expr} AS {col}" for col, expr in columns.items()])
+        return self.table(base).selectExpr(*[f"{expr} AS {col}" for col, expr in columns.items()])
 
     @cached_property
     def incidents(self) -> DataFrame:

@@ -3,24 +3,32 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from carriageway.functions.rules import rounded
 from carriageway.functions.times import AS_OF, at_midnight
 from carriageway.operators import learning, metrics, runlog
+from carriageway.operators.settle import settled
 from carriageway.plans.silver import priority_tier
 from carriageway.registry.check_sql import TIER_CUTS, bands, block, cnt, rnd, using
 from carriageway.registry.core import add, query, steady
-from carriageway.registry.generator_queries import draw
 from carriageway.session import shared_dir
 from carriageway.sources import sinks
 
 C = F.col
-# The registered models are small so that a check run stays short; the
-# defaults of the functions are the full sizes.
-SMALL = {"trees": 5, "depth": 3}
+# Forests have the published full size, boosted models the published quick one.
+QUICK = {"trees": 25, "depth": 5}
+
+
+def draw(key: str, salt: str) -> str:
+    return f"(cast('0x' || substring(md5(concat({key}, '|{salt}')), 1, 7) AS bigint) / 268435456.0e0)"
+
+
+def held(key: str) -> str:
+    return f"{draw(key, 'split-42')} < 0.2"
+
 
 # ---- features --------------------------------------------------------------
 add("l01_feature_frame", lambda i: learning.severity_frame(i.incidents, with_score=True), using("silver_incidents", (
@@ -69,81 +77,106 @@ def _(i):
     "SELECT bridge_id, coalesce(span, (SELECT quantile_disc(span, 0.5) FROM b)) AS span_full FROM b")))
 def _(i):
     spans = i.bridges.select("bridge_id", F.when(C("year_built") % 3 != 0, C("span_length_ft")).alias("span"))
-    imputer = learning.impute_numbers(["span"]).setRelativeError(1e-9)
-    return imputer.fit(spans).transform(spans).select("bridge_id", "span_full")
+    return learning.impute_median(spans, "span", "span_full").select("bridge_id", "span_full")
 
 
-# ---- models: training has no SQL form --------------------------------------
-def wear_split(i):
-    return learning.split_by_key(learning.wear_frame(i.pavement), "segment_id")
+# ---- models: SQL knows the held-out rows, their labels and what any useful model must beat ----
+def severity_frame(i):
+    return settled(learning.severity_frame(i.incidents), "severity-frame")
 
 
-@query("l09_cross_validation")
-def _(i):
-    train, _test = learning.split_by_key(learning.risk_frame(i.bridges), "bridge_id")
-    return learning.cross_validated(
-        learning.risk_model(trees=2, depth=2), train, RegressionEvaluator(labelCol="risk_score", metricName="r2"), folds=5)
+def risk_frame(i):
+    return settled(learning.risk_frame(i.bridges), "risk-frame")
 
 
-@query("l10_severity_classifier")
-def _(i):
-    train, test = learning.split_by_key(learning.severity_frame(i.incidents), "incident_id")
-    fitted = learning.severity_model(trees=2, depth=2).fit(train)
-    return fitted.transform(test).select("incident_id", "label", "prediction")
+def wear_frame(i):
+    return settled(learning.wear_frame(i.pavement), "wear-frame")
 
 
-@query("l10_severity_forest")
-def _(i):
-    train, test = learning.split_by_key(learning.severity_frame(i.incidents), "incident_id")
-    fitted = learning.severity_model(boosted=False, **SMALL).fit(train)
-    return fitted.transform(test).select("incident_id", "label", "prediction")
+SEVERITY_ROWS = using("silver_incidents", (
+    "SELECT incident_id, severity, true AS known_class FROM silver_incidents WHERE " + held("incident_id") + " AND "
+    + " AND ".join(f"{c} IS NOT NULL" for c in ("severity", *learning.SEVERITY_CATEGORIES, "incident_hour", "day_of_week", "vehicles_involved"))))
+RISK_ROWS = using("silver_bridges", (
+    "SELECT bridge_id, " + rnd("risk_score", 6) + " AS risk_score, true AS beats_mean FROM silver_bridges WHERE risk_score IS NOT NULL AND " + held("bridge_id")))
+WEAR_WHOLE = " AND ".join(f"{c} IS NOT NULL" for c in ("condition_rating", *learning.WEAR_CATEGORIES, *learning.WEAR_NUMBERS))
+WEAR_LABEL = "CASE WHEN condition_rating IN ('Poor', 'Very Poor') THEN 1e0 ELSE 0e0 END AS label"
+WEAR_ROWS = using("silver_pavement", (
+    f"SELECT segment_id, {WEAR_LABEL}, true AS beats_majority FROM silver_pavement WHERE {WEAR_WHOLE} AND {held('segment_id')}"))
 
 
-@query("l11_risk_regressor")
+@query("l09_cross_validation", "SELECT 'r2' AS metric, cast(5 AS int) AS folds, true AS beats_mean, true AS has_spread FROM orders LIMIT 1")
 def _(i):
-    train, test = learning.split_by_key(learning.risk_frame(i.bridges), "bridge_id")
-    return learning.score_table(learning.risk_model(**SMALL).fit(train), test, ["bridge_id", "risk_score"], "predicted_risk_score")
+    train, _test = learning.split_by_key(risk_frame(i), "bridge_id")
+    row = learning.cross_validated(
+        learning.risk_model(**QUICK), train, RegressionEvaluator(labelCol="risk_score", metricName="r2"), folds=5)
+    return row.select("metric", "folds", (C("mean") > 0).alias("beats_mean"), (C("sd") >= 0).alias("has_spread"))
 
 
-@query("l12_wear_forest")
-def _(i):
-    train, test = wear_split(i)
-    return learning.score_table(learning.wear_forest(**SMALL).fit(train), test, ["segment_id", "label"], "predicted")
+def severity_rows(i, model):
+    train, test = learning.split_by_key(severity_frame(i), "incident_id")
+    fitted = model.fit(train)
+    classes = len(fitted.stages[0].labels)
+    return fitted.transform(test).select("incident_id", "severity", C("prediction").between(0, classes - 1).alias("known_class"))
 
 
-@query("l13_wear_boosted")
+add("l10_severity_classifier", lambda i: severity_rows(i, learning.severity_model(**QUICK)), SEVERITY_ROWS)
+add("l10_severity_forest", lambda i: severity_rows(i, learning.severity_model(boosted=False, trees=200, depth=10)), SEVERITY_ROWS)
+
+
+@query("l11_risk_regressor", RISK_ROWS)
 def _(i):
-    train, test = wear_split(i)
-    fitted = learning.wear_boosted(**SMALL).fit(train)
-    auc = BinaryClassificationEvaluator(labelCol="label").evaluate(fitted.transform(test))
-    return learning.score_table(fitted, test, ["segment_id", "label"], "predicted").withColumn("auc_roc", F.lit(auc))
+    train, test = learning.split_by_key(risk_frame(i), "bridge_id")
+    out = settled(learning.score_table(learning.risk_model(**QUICK).fit(train), test, ["bridge_id", "risk_score"], "predicted"), "risk-scored")
+    mean = train.agg(F.avg("risk_score")).first()[0]
+    errors = out.agg(F.sum(F.pow(C("risk_score") - C("predicted"), 2)), F.sum(F.pow(C("risk_score") - F.lit(mean), 2))).first()
+    return steady(out.select("bridge_id", "risk_score", F.lit(errors[0] < errors[1]).alias("beats_mean")))
+
+
+def wear_rows(i, model):
+    train, test = learning.split_by_key(wear_frame(i), "segment_id")
+    out = settled(learning.score_table(model.fit(train), test, ["segment_id", "label"], "predicted"), "wear-scored")
+    hit, positive = out.agg(F.avg((C("label") == C("predicted")).cast("int")), F.avg("label")).first()
+    return out.select("segment_id", "label", F.lit(hit >= max(positive, 1 - positive)).alias("beats_majority"))
 
 
-@query("l20_feature_importance")
+add("l12_wear_forest", lambda i: wear_rows(i, learning.wear_forest()), WEAR_ROWS)
+add("l13_wear_boosted", lambda i: wear_rows(i, learning.wear_boosted(**QUICK)), WEAR_ROWS)
+
+
+@query("l20_feature_importance", "SELECT cast(10 AS bigint) AS n, true AS in_order, true AS share_of_one FROM part LIMIT 1")
 def _(i):
-    frame = learning.wear_frame(i.pavement)
-    fitted = learning.wear_forest(**SMALL).fit(frame)
-    return learning.importances(fitted, fitted.transform(frame))
+    frame = wear_frame(i)
+    fitted = learning.wear_forest().fit(frame)
+    return importance_summary(learning.importances(fitted, fitted.transform(frame)))
+
+
+def importance_summary(top):
+    listed = F.array_sort(F.collect_list("importance"))
+    return top.agg(F.count(F.lit(1)).alias("n"), (F.element_at(listed, -1) == F.max("importance")).alias("in_order"),
+                   (F.sum("importance") <= 1.000001).alias("share_of_one"))
 
 
-@query("s08_top_features")
+@query("s08_top_features", "SELECT cast(10 AS bigint) AS n, true AS in_order, true AS share_of_one FROM part LIMIT 1")
 def _(i):
-    frame = learning.risk_frame(i.bridges)
-    fitted = learning.risk_model(**SMALL).fit(frame)
-    return learning.importances(fitted, fitted.transform(frame), top=10)
+    frame = risk_frame(i)
+    fitted = learning.risk_model(**QUICK).fit(frame)
+    return importance_summary(learning.importances(fitted, fitted.transform(frame), top=10))
 
 
-@query("l21_batch_scoring_top")
+@query("l21_batch_scoring_top", using("silver_bridges", (
+    "SELECT cast(least(20, count(*)) AS bigint) AS n, true AS all_top FROM silver_bridges WHERE risk_score IS NOT NULL")))
 def _(i):
-    frame = learning.risk_frame(i.bridges)
-    scored = learning.score_table(learning.risk_model(**SMALL).fit(frame), frame, ["bridge_id", "state_code"], "predicted_risk_score")
-    return scored.orderBy(F.desc("predicted_risk_score"), "bridge_id").limit(20)
+    frame = risk_frame(i)
+    every = settled(learning.score_table(learning.risk_model(**QUICK).fit(frame), frame, ["bridge_id", "state_code"], "predicted_risk_score"), "risk-scores")
+    top = every.orderBy(F.desc("predicted_risk_score"), "bridge_id").limit(20)
+    best = every.agg(F.max("predicted_risk_score")).first()[0]
+    return top.agg(F.count(F.lit(1)).alias("n"), (F.max("predicted_risk_score") == F.lit(best)).alias("all_top"))
 
 
 @query("l23_save_and_load", "SELECT count(*) AS n_scored, true AS same_scores FROM orders")
 def _(i):
-    frame = learning.risk_frame(i.bridges)
-    fitted = learning.risk_model(trees=2, depth=2).fit(frame)
+    frame = risk_frame(i)
+    fitted = learning.risk_model(**QUICK).fit(frame)
     path = shared_dir(i.spark, "model")
     fitted.write().overwrite().save(path)
     again = PipelineModel.load(path)
@@ -153,10 +186,11 @@ def _(i):
         F.count(F.lit(1)).alias("n_scored"), F.bool_and(C("a") == C("b")).alias("same_scores"))
 
 
-@query("u05_model_as_function")
+@query("u05_model_as_function", using("silver_pavement", (
+    f"SELECT segment_id, true AS is_class FROM silver_pavement WHERE {WEAR_WHOLE}")))
 def _(i):
-    frame = learning.wear_frame(i.pavement)
-    return learning.wear_forest(trees=3, depth=2).fit(frame).transform(frame).select("segment_id", "prediction")
+    frame = wear_frame(i)
+    return learning.wear_forest().fit(frame).transform(frame).select("segment_id", C("prediction").isin(0.0, 1.0).alias("is_class"))
 
 
 # ---- metrics ---------------------------------------------------------------
@@ -223,10 +257,9 @@ add("l26_priority_label", lambda i: guessed_risk(i).select("bridge_id", priority
 @query("l27_input_signature", (
     "SELECT count(*) AS n_rows, 'missing column pcr; column iri is string, expected int' AS problems FROM part"))
 def _(i):
-    wanted = learning.wear_frame(i.pavement).schema
-    given = i.fx("pavement").drop("pcr").withColumn("iri", C("iri").cast("string"))
-    wanted = type(wanted)([f for f in wanted.fields if f.name in ("pcr", "iri", "psi")])
-    problems = "; ".join(learning.missing_inputs(given, wanted))
+    signature = learning.signature(learning.wear_frame(i.pavement), learning.WEAR_CATEGORIES + learning.WEAR_NUMBERS)
+    given = i.pavement.drop("pcr").withColumn("iri", C("iri").cast("string"))
+    problems = "; ".join(learning.missing_inputs(given, signature))
     return i.table("part").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("problems", F.lit(problems))
 
 

@@ -89,16 +89,17 @@ add("r09_corridor_ranking", lambda i: reports.corridor_ranking(i.rates), using("
     "cast(rank() OVER (PARTITION BY functional_class ORDER BY incidents_per_100m_vmt DESC NULLS LAST) AS int) "
     "AS safety_rank_in_class FROM geo_rates "
     "ORDER BY geo_rates.incidents_per_100m_vmt DESC NULLS LAST, seg_route_id, functional_class, area_type LIMIT 30")))
-add("r10_bridge_risk_by_zone", lambda i: reports.bridge_risk_by_zone(i.placed_bridges).withColumn(
-        "p1_bridge_ids", F.array_join("p1_bridge_ids", ",")), using("geo_bridges", (
-    "SELECT taz_id, zone_type, state_code, count(bridge_id) AS bridge_count, "
+add("r10_bridge_risk_by_zone", lambda i: reports.bridge_risk_by_zone(i.placed_bridges), using("geo_bridges", (
+    ", top AS (SELECT taz_id, zone_type, state_code, count(bridge_id) AS bridge_count, "
     + cnt("worst_condition = 'Poor'") + f" AS poor_condition_bridges, {rnd('avg(risk_score)', 1)} AS avg_risk_score, "
     f"{rnd('avg(sufficiency_rating)', 1)} AS avg_sufficiency, max(taz_population) AS taz_population, "
     f"max(taz_vehicle_trips) AS taz_vehicle_trips, {rnd('sum(population_at_risk_score)', 0)} AS total_pop_at_risk_score, "
-    f"{big('avg_daily_traffic')} AS total_bridge_aadt, "
-    "array_to_string(coalesce(list_sort(list(bridge_id) FILTER (WHERE priority_tier = 'Priority 1 – Immediate')), []), ',') AS p1_bridge_ids "
+    f"{big('avg_daily_traffic')} AS total_bridge_aadt "
     "FROM geo_bridges GROUP BY 1, 2, 3 HAVING count(bridge_id) >= 2 "
-    "ORDER BY total_pop_at_risk_score DESC NULLS LAST, taz_id, zone_type, state_code LIMIT 25")))
+    "ORDER BY total_pop_at_risk_score DESC NULLS LAST, taz_id, zone_type, state_code LIMIT 25) "
+    "SELECT top.*, b.bridge_id AS p1_bridge_id FROM top LEFT JOIN geo_bridges b ON b.priority_tier = 'Priority 1 – Immediate' "
+    "AND b.taz_id IS NOT DISTINCT FROM top.taz_id AND b.zone_type IS NOT DISTINCT FROM top.zone_type "
+    "AND b.state_code IS NOT DISTINCT FROM top.state_code")))
 add("r11_coarse_rollup", lambda i: reports.coarse_rollup(i.cells), using("geo_cells", (
     "SELECT h3_index_r6 AS h3_county_cell, state_code, count(DISTINCT h3_index_r8) AS sub_cells_count, "
     f"{big('incident_count')} AS total_incidents, {big('total_fatalities')} AS total_fatalities, "
@@ -209,8 +210,14 @@ add("r19_bridges_by_type", lambda i: reports.bridges_by_type(i.health), using("s
 add("r19_worst_pavement_counties", lambda i: reports.worst_pavement_counties(i.needs), using("gold_needs", (
     f"SELECT state_code, county_code, {big('segment_count')} AS segments, "
     f"{rnd(div('sum(avg_pcr * segment_count)', 'sum(segment_count)'), 4)} AS avg_pcr, "
-    f"{rnd('sum(total_estimated_cost_usd)', 2)} AS total_cost_usd FROM gold_needs GROUP BY 1, 2 "
-    "ORDER BY avg_pcr, state_code, county_code LIMIT 10")))
+    f"{rnd('sum(total_estimated_cost_usd)', 2)} AS total_cost_usd FROM gold_needs GROUP BY 1, 2")))
+add("r19_top_fatal_corridors", lambda i: reports.top_fatal_corridors(i.corridors), using("gold_corridors", (
+    "SELECT state_code, route_id, county_code, incident_count, total_fatalities, risk_tier FROM gold_corridors "
+    "ORDER BY total_fatalities DESC, state_code, route_id, county_code LIMIT 10")))
+add("r19_state_scorecard", lambda i: reports.state_scorecard(i.scorecard), using("gold_scorecard", (
+    f"SELECT state_code, total_incidents, total_fatalities, total_bridges, {rnd('avg_bridge_sufficiency', 1)} AS avg_bridge_sufficiency, "
+    f"{rnd('total_lane_miles', 0)} AS total_lane_miles, poor_pavement_pct, total_registered_vehicles, ev_adoption_pct "
+    "FROM gold_scorecard WHERE state_code = 'NC'")))
 add("r19_electric_count", lambda i: reports.electric_count(i.fleet), using("silver_vehicles", (
     f"SELECT {cnt('is_electric')} AS electric_vehicles, count(*) AS registered_vehicles FROM silver_vehicles")))
 add("r19_extreme_hotspots", lambda i: steady(reports.extreme_hotspots(i.spots)), using("geo_spots", (

@@ -15,7 +15,7 @@ from carriageway.registry.core import Inputs, add, query, steady
 from carriageway.registry.table_queries import event_stream
 from carriageway.session import shared_dir
 from carriageway.sources.domain import VIEWS
-from carriageway.sources.sinks import export_json
+from carriageway.sources.sinks import export_json, overwrite
 from carriageway.streaming import jobs
 
 C = F.col
@@ -84,11 +84,15 @@ add("t07_available_now_trigger", lambda i: jobs.drain(event_stream(i).select("ev
 
 
 @query("t08_table_chain", using("stream_silver", (
-    "SELECT 'bronze' AS layer, count(*) AS n FROM events UNION ALL SELECT 'silver', count(*) FROM stream_silver")))
+    "SELECT 'bronze' AS layer, count(*) AS n FROM events UNION ALL SELECT 'silver', count(*) FROM stream_silver UNION ALL "
+    "SELECT 'gold', count(*) FROM (SELECT DISTINCT state_code, incident_year, incident_month, incident_type FROM stream_silver)")))
 def _(i):
     chain = silver_chain(i)
+    gold = shared_dir(i.spark, "gold")
+    overwrite(jobs.monthly_rollup(chain["silver"]), gold)
+    chain["gold"] = i.spark.read.parquet(gold)
     counts = [df.agg(F.lit(name).alias("layer"), F.count(F.lit(1)).alias("n")) for name, df in chain.items()]
-    return counts[0].unionByName(counts[1])
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
 READINGS = (
@@ -132,10 +136,9 @@ def _(i):
 @query("t14_raw_beside_aggregate", (
     "SELECT 'raw' AS sink, count(*) AS n FROM events UNION ALL SELECT 'totals', count(DISTINCT event_type) FROM events"))
 def _(i):
-    raw = jobs.drain(event_stream(i).select("event_id", "event_type"), "raw")
-    totals = jobs.drain_with_totals(
+    totals, _log, raw = jobs.drain_with_totals(
         event_stream(i).select("event_id", "event_type"), {"has_id": "event_id IS NOT NULL"},
-        lambda batch: batch.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")), "totals")[0]
+        lambda batch: batch.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")), "totals", beside=lambda batch: batch)
     by_type = totals.groupBy("event_type").agg(F.sum("n").alias("n"))
     return raw.agg(F.lit("raw").alias("sink"), F.count(F.lit(1)).alias("n")).unionByName(
         by_type.agg(F.lit("totals").alias("sink"), F.count(F.lit(1)).alias("n")))
@@ -147,9 +150,29 @@ add("p17_stream_bronze_incidents", lambda i: steady(jobs.drain(jobs.bronze(strea
         "road_condition weather_condition fatalities injuries vehicles_involved status") + " FROM fx_incidents"))
 add("p17_stream_bronze_bridges", lambda i: jobs.drain(jobs.bronze(stream(i, "bridges")), "p17b").select("bridge_id", "state_code", "year_built"),
     using("fx_bridges", "SELECT bridge_id, state_code, year_built FROM fx_bridges"))
-add("p18_stream_silver_incidents", lambda i: jobs.drain(jobs.silver_incidents(jobs.bronze(stream(i, "incidents"))), "p18").select(*SILVER_KEEP),
-    using("stream_silver", "SELECT * FROM stream_silver"))
-add("p19_stream_silver_bridges", lambda i: steady(jobs.drain(jobs.silver_bridges(jobs.bronze(stream(i, "bridges"))), "p19").select(
+
+
+def silver_run(i: Inputs) -> tuple[DataFrame, DataFrame]:
+    return jobs.drain_silver(jobs.bronze(stream(i, "incidents")), "incident_id", jobs.INCIDENT_MUST, jobs.INCIDENT_SHOULD, jobs.enriched_incidents, "p18")
+
+
+def bridge_run(i: Inputs) -> tuple[DataFrame, DataFrame]:
+    return jobs.drain_silver(jobs.bronze(stream(i, "bridges")), "bridge_id", jobs.BRIDGE_MUST, jobs.BRIDGE_SHOULD, jobs.enriched_bridges, "p19")
+
+
+def broken(rules: dict[str, str], where: str = "true") -> str:
+    return ", ".join(f"count(*) FILTER (WHERE ({where}) AND NOT coalesce({rule}, false)) AS {name}" for name, rule in rules.items())
+
+
+add("p18_stream_silver_incidents", lambda i: silver_run(i)[0].select(*SILVER_KEEP), using("stream_silver", "SELECT * FROM stream_silver"))
+add("p18_stream_silver_counts", lambda i: silver_run(i)[1],
+    using("fx_incidents", f"SELECT {broken(jobs.INCIDENT_MUST)}, {broken(jobs.INCIDENT_SHOULD, MUST)} FROM fx_incidents"))
+add("p19_stream_silver_counts", lambda i: bridge_run(i)[1],
+    using("fx_bridges", f"SELECT {broken(jobs.BRIDGE_MUST)}, {broken(jobs.BRIDGE_SHOULD, 'bridge_id IS NOT NULL')} FROM fx_bridges"))
+add("t03_dropped_rows", lambda i: jobs.drain_silver(
+        stream(i, "incidents"), "incident_id", {"known_injuries": "injuries > 3"}, {}, lambda df: df, "dropped")[1],
+    using("fx_incidents", f"SELECT {broken({'known_injuries': 'injuries > 3'})} FROM fx_incidents"))
+add("p19_stream_silver_bridges", lambda i: steady(bridge_run(i)[0].select(
         "bridge_id", "state_code", "bridge_age_years", "days_since_inspection", "inspection_overdue", "risk_score")),
     using("fx_bridges", "SELECT bridge_id, state_code, 2024 - year_built AS bridge_age_years, "
           "cast(date_diff('day', cast(last_inspection_date AS date), DATE '2024-12-31') AS int) AS days_since_inspection, "

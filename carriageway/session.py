@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_LOCAL_BASE: dict[str, str] = {}
-
 
 def build_session(app: str = "carriageway", master: str | None = None, **extra: str) -> SparkSession:
     """Session with the settings the jobs assume; a cluster's own values win.
@@ -45,16 +42,8 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for written intermediates, visible to every executor.
 
-    The base is ``spark.checkpoint.dir``. Only a local session may fall back to
-    a folder of its own; on a cluster a missing setting is an error, because a
-    machine-local folder would be lost with its machine.
+    The base is ``spark.checkpoint.dir``; where that is unset, as in tests, a
+    folder of the session's warehouse. Never a machine's own temporary folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        sc = spark.sparkContext
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = _LOCAL_BASE.get(sc.applicationId)
-        if base is None:
-            base = _LOCAL_BASE[sc.applicationId] = tempfile.mkdtemp(prefix="carriageway-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_runs"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from carriageway.functions.cells import cell_boundary
@@ -35,8 +35,8 @@ def ensure_database(spark: SparkSession, name: str, location: str | None = None)
 
 
 def save_table(df: DataFrame, name: str, parts: Sequence[str] = (), fmt: str = "parquet") -> None:
-    """Save as a catalog table, replacing it."""
-    writer = df.write.format(fmt).mode("overwrite")
+    """Save as a catalog table, replacing it; rows come together by partition as in ``overwrite``."""
+    writer = (df.hint("rebalance", *parts) if parts else df).write.format(fmt).mode("overwrite")
     if parts:
         writer = writer.partitionBy(*parts)
     writer.saveAsTable(name)
@@ -47,11 +47,16 @@ def register_files(spark: SparkSession, name: str, path: str, fmt: str = "parque
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{path}'")
 
 
+def quoted(text: str) -> str:
+    """A text as an SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def describe(spark: SparkSession, name: str, comment: str, columns: Mapping[str, str] = {}) -> None:
     """Store a table comment and column comments."""
-    spark.sql(f"COMMENT ON TABLE {name} IS '{comment}'")
+    spark.sql(f"COMMENT ON TABLE {name} IS {quoted(comment)}")
     for column, text in columns.items():
-        spark.sql(f"ALTER TABLE {name} ALTER COLUMN {column} COMMENT '{text}'")
+        spark.sql(f"ALTER TABLE {name} ALTER COLUMN {column} COMMENT {quoted(text)}")
 
 
 def analyze(spark: SparkSession, name: str) -> None:
@@ -68,23 +73,27 @@ def clustered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.repartitionByRange(*columns).sortWithinPartitions(*columns)
 
 
-def write_log(df_path: str, spark: SparkSession, operation: str, columns: Sequence[str], at: Column) -> DataFrame:
-    """One history row for a written table: what was done, how many rows, when."""
-    written = spark.read.parquet(df_path)
-    return written.agg(F.count(F.lit(1)).alias("rows_written")).select(
-        F.lit(operation).alias("operation"), "rows_written",
-        F.lit(",".join(columns)).alias("columns"), at.alias("logged_at"),
+def write_logged(
+    df: DataFrame, operation: str, at: Column, write: Callable[[DataFrame], None]
+) -> DataFrame:
+    """Run a write and give its history row: what was done, how many rows this write had, when.
+
+    The rows are counted while they are written; the table is not read again.
+    """
+    seen = Observation()
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return df.sparkSession.range(1).select(
+        F.lit(operation).alias("operation"), F.lit(int(seen.get["rows"])).cast("long").alias("rows_written"),
+        F.lit(",".join(df.columns)).alias("columns"), at.alias("logged_at"),
     )
 
 
-def features(df: DataFrame, geometry: str, limit: int | None = None) -> DataFrame:
+def features(df: DataFrame, geometry: str) -> DataFrame:
     """GeoJSON features as one text column: one per row, empty geometry dropped.
 
     Every other column becomes a property.
     """
     kept = df.where(has_text(geometry))
-    if limit is not None:
-        kept = kept.limit(limit)
     properties = F.to_json(F.struct(*[F.col(c) for c in df.columns if c != geometry]))
     return kept.select(
         F.concat(
@@ -94,9 +103,9 @@ def features(df: DataFrame, geometry: str, limit: int | None = None) -> DataFram
     )
 
 
-def export_geojson(df: DataFrame, geometry: str, path: str, limit: int | None = None) -> None:
+def export_geojson(df: DataFrame, geometry: str, path: str) -> None:
     """Newline-delimited GeoJSON."""
-    features(df, geometry, limit).write.mode("overwrite").text(path)
+    features(df, geometry).write.mode("overwrite").text(path)
 
 
 def with_extent(df: DataFrame, geometry: str) -> DataFrame:

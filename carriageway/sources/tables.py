@@ -28,16 +28,6 @@ def scan(
     return df.select(*columns) if columns else df
 
 
-def dealt_out(df: DataFrame) -> DataFrame:
-    """Rows over all cores when the scan alone would keep most of them idle.
-
-    A file of one row group is one task, however many cores there are. With at
-    least one split per core, as in any large table, nothing is moved.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def scan_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
@@ -48,12 +38,14 @@ def scan_in_sql(spark: SparkSession, path: str, body: str = "SELECT * FROM {sour
 
 
 def first_available(spark: SparkSession, paths: Sequence[str], fmt: str = "parquet") -> DataFrame:
-    """Scan of the first path that can be read."""
+    """Scan of the first path that exists; any other problem with a path is an error."""
     missing = []
     for path in paths:
         try:
             return spark.read.format(fmt).load(path)
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             missing.append(path)
     raise FileNotFoundError(f"none of these can be read: {missing}")
 

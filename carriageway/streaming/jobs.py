@@ -15,10 +15,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from carriageway.functions.rules import banded, tally
 from carriageway.functions.times import AS_OF, age_in, days_since, instant, is_weekend
+from carriageway.operators.keys import one_row_per_key
 from carriageway.operators.measures import rollup_by
 from carriageway.operators.quality import SEVERITY_LIST, keep_expected, violations
 from carriageway.plans.silver import INSPECTION_CYCLE_DAYS, bridge_risk
 from carriageway.session import shared_dir
+from carriageway.sources.sinks import quoted
 
 # Expectations, late tolerance, window, congestion bands (ours:
 # the published text names the label but no cuts), anomaly limits.
@@ -38,6 +40,7 @@ BRIDGE_SHOULD = {
 }
 LATE = "10 minutes"
 ARRIVAL, REPEATS_WITHIN = "_ingest_time", "1 day"
+BATCH = "_batch"
 WINDOW = "5 minutes"
 CONGESTION_BANDS = [(15, "Severe"), (30, "Heavy"), (45, "Moderate")]
 FREE_FLOW = "Free Flow"
@@ -87,8 +90,8 @@ def enriched_incidents(df: DataFrame) -> DataFrame:
     })
 
 
-def silver_incidents(df: DataFrame, when: str | None = ARRIVAL, late: str = REPEATS_WITHIN) -> DataFrame:
-    """P18."""
+def silver_incidents(df: DataFrame, when: str | None = None, late: str = REPEATS_WITHIN) -> DataFrame:
+    """P18 as one streaming frame; every key is remembered, as in the published pipeline. ``drain_silver`` needs no such state."""
     return deduplicated(enriched_incidents(keep_expected(df, INCIDENT_MUST)), "incident_id", when, late)
 
 
@@ -101,8 +104,8 @@ def enriched_bridges(df: DataFrame) -> DataFrame:
     }).withColumn("inspection_overdue", F.col("days_since_inspection") > INSPECTION_CYCLE_DAYS)
 
 
-def silver_bridges(df: DataFrame, when: str | None = ARRIVAL, late: str = REPEATS_WITHIN) -> DataFrame:
-    """P19."""
+def silver_bridges(df: DataFrame, when: str | None = None, late: str = REPEATS_WITHIN) -> DataFrame:
+    """P19 as one streaming frame."""
     return deduplicated(enriched_bridges(keep_expected(df, BRIDGE_MUST)), "bridge_id", when, late)
 
 
@@ -167,9 +170,9 @@ def start_table(
         .trigger(**(trigger or {"availableNow": True})).toTable(table)
     )
     if comment:
-        spark.sql(f"COMMENT ON TABLE {table} IS '{comment}'")
+        spark.sql(f"COMMENT ON TABLE {table} IS {quoted(comment)}")
     if quality:
-        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('quality' = '{quality}')")
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('quality' = {quoted(quality)})")
     return query
 
 
@@ -187,29 +190,76 @@ def drain(df: DataFrame, purpose: str, mode: str = "append") -> DataFrame:
 
 
 def drain_with_totals(
-    df: DataFrame, rules: Mapping[str, str], fold: Callable[[DataFrame], DataFrame], purpose: str
-) -> tuple[DataFrame, DataFrame]:
+    df: DataFrame, rules: Mapping[str, str], fold: Callable[[DataFrame], DataFrame], purpose: str,
+    beside: Callable[[DataFrame], DataFrame] | None = None,
+) -> tuple[DataFrame, ...]:
     """Run a stream and log, per micro-batch, how many rows broke each rule.
 
-    Returns what the stream wrote and the totals of the log. A batch replayed
-    after a failure overwrites its own folder, so totals stay exact.
+    Returns what the stream wrote, the totals of the log and, if asked for,
+    what ``beside`` makes of the same batches: one read of the source for all.
+    A batch replayed after a failure overwrites its own folders, so totals stay
+    exact. A source without rows gives empty tables.
     """
     spark = df.sparkSession
     base = shared_dir(spark, f"stream-{purpose}")
+    made = {"out": fold, "log": lambda batch: batch.agg(*violations(rules))} | ({"beside": beside} if beside else {})
 
     def write(batch: DataFrame, epoch: int) -> None:
         batch.persist()
-        fold(batch).write.mode("overwrite").parquet(f"{base}/out/batch={epoch}")
-        batch.agg(*violations(rules)).write.mode("overwrite").parquet(f"{base}/log/batch={epoch}")
-        batch.unpersist()
+        try:
+            for name, make in made.items():
+                make(batch).write.mode("overwrite").parquet(f"{base}/{name}/{BATCH}={epoch}")
+        finally:
+            batch.unpersist()
+
+    write(spark.createDataFrame([], df.schema), -1)
+    run_batches(df, write, f"{base}/checkpoint")
+    log = spark.read.parquet(f"{base}/log").agg(*[F.sum(r).alias(r) for r in rules])
+    rest = [spark.read.parquet(f"{base}/{name}").drop(BATCH) for name in made if name != "log"]
+    return rest[0], log, *rest[1:]
 
-    query = (
-        df.writeStream.foreachBatch(write).option("checkpointLocation", f"{base}/checkpoint")
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+
+def run_batches(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    """Hand every micro-batch there is now to ``write``."""
+    (df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())
+
+
+def drain_silver(
+    raw: DataFrame, key: str, must: Mapping[str, str], should: Mapping[str, str],
+    enrich: Callable[[DataFrame], DataFrame], purpose: str, base: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Run bronze rows into a silver table that stays unique by key for ever, with counts per rule.
+
+    Returns the table and the totals: per ``must`` rule the rows it dropped, per
+    ``should`` rule the kept rows that break it. Each batch keeps one row per
+    key and leaves out keys that other batches have written, so no state grows
+    in the stream; a replayed batch overwrites itself. ``base`` is given to go
+    on with an earlier run.
+    """
+    spark = raw.sparkSession
+    base = base or shared_dir(spark, f"silver-{purpose}")
+    rules = {**must, **should}
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.persist()
+        try:
+            kept = keep_expected(batch, must)
+            met = " AND ".join(f"coalesce({rule}, false)" for rule in must.values())
+            warned = {name: f"NOT ({met}) OR ({rule})" for name, rule in should.items()}
+            batch.agg(*violations({**must, **warned})).write.mode("overwrite").parquet(f"{base}/log/{BATCH}={epoch}")
+            fresh = one_row_per_key(enrich(kept), [key])
+            if epoch >= 0:
+                known = spark.read.parquet(f"{base}/out").where(F.col(BATCH) != epoch).select(F.col(key).alias("_known"))
+                fresh = fresh.join(known, F.col(key) == F.col("_known"), "left_anti")
+            fresh.write.mode("overwrite").parquet(f"{base}/out/{BATCH}={epoch}")
+        finally:
+            batch.unpersist()
+
+    write(spark.createDataFrame([], raw.schema), -1)
+    run_batches(raw, write, f"{base}/checkpoint")
     log = spark.read.parquet(f"{base}/log").agg(*[F.sum(r).alias(r) for r in rules])
-    return spark.read.parquet(f"{base}/out").drop("batch"), log
+    return spark.read.parquet(f"{base}/out").drop(BATCH), log
 
 
 def table_chain(events: DataFrame, steps: Mapping[str, Callable[[DataFrame], DataFrame]]) -> dict[str, DataFrame]:

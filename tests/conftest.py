@@ -8,10 +8,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from carriageway import build_session
 
+    runs = tmp_path_factory.mktemp("runs")
     session = build_session("tests", "local[8]", **{
+        "spark.checkpoint.dir": str(runs / "shared"), "spark.sql.warehouse.dir": str(runs / "warehouse"),
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "12g",
     })
     session.sparkContext.setLogLevel("ERROR")

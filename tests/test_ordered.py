@@ -80,3 +80,18 @@ def test_one_row_per_key_limits_map_output(spark):
 def test_one_row_per_null_key(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "k string, v int")
     assert one_row_per_key(df, ["k"]).count() == 2
+
+
+def test_nan_and_infinity_rank_above_numbers(spark):
+    from carriageway.operators.ordered import rank_desc
+
+    df = spark.createDataFrame([("g", float("nan")), ("g", float("inf")), ("g", 3.0), ("g", float("-inf")), ("g", None)], "k string, v double")
+    got = {str(r["v"]): r["place"] for r in rank_desc(df, ["k"], "v", "place").collect()}
+    assert got == {"nan": 1, "inf": 2, "3.0": 3, "-inf": 4, "None": 5}
+
+
+def test_the_kept_row_does_not_change_with_the_partitions(spark):
+    rows = [(k % 5, v) for k in range(50) for v in range(3)]
+    few = one_row_per_key(spark.createDataFrame(rows, "k int, v int").repartition(2), ["k"])
+    many = one_row_per_key(spark.createDataFrame(rows[::-1], "k int, v int").repartition(9), ["k"])
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))

@@ -1,4 +1,4 @@
-"""Column tests over our own marts, plans, metrics, generators, sources."""
+"""Column tests over our own marts, plans, metrics, sources."""
 
 import random
 
@@ -12,7 +12,7 @@ from carriageway.operators.profiling import category_drift, profile
 from carriageway.registry import QUERIES
 from carriageway.registry.core import Inputs
 from carriageway.session import shared_dir
-from carriageway.sources import generators, schemas, sinks, tables
+from carriageway.sources import schemas, sinks, tables
 
 
 @pytest.fixture(scope="module")
@@ -95,19 +95,6 @@ def test_profile_sketch_form(i):
     assert rows["o_totalprice"]["min_value"] <= rows["o_totalprice"]["median_value"] <= rows["o_totalprice"]["max_value"]
 
 
-def test_clustered_points_take_the_first_hit(spark):
-    ids = spark.range(300)
-    few, many = (generators.clustered_points(ids, attempts=n) for n in (1, 16))
-    a = {r["id"]: (r["latitude"], r["longitude"]) for r in few.collect()}
-    b = {r["id"]: (r["latitude"], r["longitude"]) for r in many.collect()}
-    kept = [k for k in a if a[k] != generators.FALLBACK]
-    assert 100 < len(kept) < 300
-    assert all(a[k] == b[k] for k in kept)
-    assert sum(v == generators.FALLBACK for v in b.values()) <= 2
-    again = generators.clustered_points(spark.range(300).repartition(7))
-    assert {r["id"]: (r["latitude"], r["longitude"]) for r in again.collect()} == b
-
-
 def test_declared_schemas():
     for name in schemas.TABLES:
         schema = schemas.declared(name)
@@ -133,3 +120,32 @@ def test_geojson_skips_blank_geometry_and_keeps_properties(spark):
     rows = [r["value"] for r in sinks.features(df, "w").collect()]
     assert rows[0] == '{"type":"Feature","geometry":{"type":"Point","coordinates":[1.0,2.0]},"properties":{"id":1}}'
     assert len(rows) == 2 and '"coordinates":[[[0.0,0.0],' in rows[1]
+
+
+def test_write_is_counted_while_it_is_written(spark):
+    from pyspark.sql import functions as F
+
+    path = shared_dir(spark, "logged")
+    for _ in range(2):
+        row = sinks.write_logged(spark.range(7).withColumnRenamed("id", "k"), "APPEND", F.lit("now"), lambda df: sinks.append(df, path)).first()
+        assert tuple(row) == ("APPEND", 7, "k", "now")
+    assert spark.read.parquet(path).count() == 14
+
+
+def test_comments_may_hold_quotes(spark):
+    name = "t_" + shared_dir(spark, "x").rpartition("-")[2]
+    sinks.save_table(spark.range(3), name)
+    sinks.describe(spark, name, "it's a \\ table", {"id": "the key's"})
+    assert spark.catalog.getTable(name).description == "it's a \\ table"
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_rate_counts_only_segments_with_traffic(spark):
+    from carriageway.functions.cells import hex_cell
+    from carriageway.plans import geo
+
+    placed = spark.createDataFrame([("i1", 35.5, -79.0, 0, 0, 1.0, False)], "incident_id string, latitude double, longitude double, fatalities int, injuries int, severity_score double, has_fatality boolean")
+    enriched = placed.withColumn("h3_index_r8", hex_cell("latitude", "longitude", 8))
+    segs = spark.createDataFrame([("r", "f", "a", 1000, 35.5, -79.0), ("r", "f", "a", None, 35.5, -79.0)], "route_id string, functional_class string, area_type string, aadt int, lat double, lon double")
+    out = geo.corridor_safety(enriched, segs.withColumn("h3_index_r8", hex_cell("lat", "lon", 8)), stamp=False).first()
+    assert out["reference_aadt"] == 1000

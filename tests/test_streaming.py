@@ -80,3 +80,36 @@ def test_anomaly_limits(spark):
 def test_bronze_stamps(spark):
     df = jobs.bronze(spark.range(3))
     assert df.where(F.col("_ingest_time").isNull()).count() == 0
+
+
+INCIDENT = "incident_id string, incident_datetime timestamp, longitude double, latitude double, severity string"
+
+
+def test_silver_stays_unique_and_counts_rules(spark):
+    at = START
+    path = files(spark, [
+        [("a", at, 1.0, 1.0, "Fatal"), ("a", at, 1.0, 1.0, "Fatal"), (None, at, 1.0, 1.0, "Fatal"), ("b", at, 500.0, 1.0, "Odd")],
+        [("a", at + timedelta(days=2), 1.0, 1.0, "Fatal"), ("c", at, 1.0, 99.0, "Odd")],
+    ], INCIDENT)
+    schema = spark.createDataFrame([], INCIDENT).schema
+    base = shared_dir(spark, "silver")
+
+    def run():
+        raw = jobs.bronze(jobs.file_stream(spark, path, schema, "json", files_per_batch=1))
+        out, log = jobs.drain_silver(raw, "incident_id", jobs.INCIDENT_MUST, jobs.INCIDENT_SHOULD, lambda df: df, "t", base)
+        return sorted(r["incident_id"] for r in out.collect()), log.first().asDict()
+
+    counts = {"valid_incident_id": 1, "valid_datetime": 0, "valid_longitude": 1, "valid_severity": 1, "valid_lat": 1}
+    assert run() == (["a", "c"], counts)
+    # A repeat that arrives in a later run, days later, is still known.
+    spark.createDataFrame([("a", at + timedelta(days=9), 1.0, 1.0, "Fatal"), ("d", at, 1.0, 1.0, "Fatal")], INCIDENT).write.mode("append").json(path)
+    assert run() == (["a", "c", "d"], counts)
+
+
+def test_a_source_without_rows_gives_empty_tables(spark):
+    path = shared_dir(spark, "none")
+    spark.createDataFrame([], INCIDENT).write.json(path)
+    stream = jobs.file_stream(spark, path, spark.createDataFrame([], INCIDENT).schema, "json")
+    out, log = jobs.drain_with_totals(stream, jobs.INCIDENT_SHOULD, lambda b: b, "none")
+    assert out.count() == 0 and tuple(log.first()) == (0, 0)
+    assert jobs.drain_silver(stream, "incident_id", jobs.INCIDENT_MUST, {}, lambda df: df, "none")[0].count() == 0
