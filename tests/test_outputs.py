@@ -149,3 +149,11 @@ def test_rate_counts_only_segments_with_traffic(spark):
     segs = spark.createDataFrame([("r", "f", "a", 1000, 35.5, -79.0), ("r", "f", "a", None, 35.5, -79.0)], "route_id string, functional_class string, area_type string, aadt int, lat double, lon double")
     out = geo.corridor_safety(enriched, segs.withColumn("h3_index_r8", hex_cell("lat", "lon", 8)), stamp=False).first()
     assert out["reference_aadt"] == 1000
+
+
+def test_silver_table_is_pruned_by_partition(i):
+    from carriageway.registry.job_queries import run_layers
+
+    table = i.spark.table(f"{run_layers(i, 2)}.silver_traffic_incidents")
+    plan = table.where("state_code = 'NC' AND incident_year = 2023").select("incident_id")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(state_code" in plan and "incident_year" in plan.split("PartitionFilters")[1]
