@@ -148,4 +148,5 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANC
     first = joined.groupBy(F.col("_root").alias("first_root")).agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     gone = (joined.join(first, F.col("_root") == F.col("first_root")).where(F.col("_row") != F.col("first._row"))
             .select(F.col("_row").alias("gone")))
-    return rows.join(settled(gone, "simhash-gone"), F.col("_row") == F.col("gone"), "left_anti").select(*docs.columns)
+    # What goes is a share of the rows, so it is never broadcast.
+    return rows.join(settled(gone, "simhash-gone").hint("merge"), F.col("_row") == F.col("gone"), "left_anti").select(*docs.columns)
