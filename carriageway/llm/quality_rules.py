@@ -9,8 +9,7 @@ their sum per language and over everything serves groups with few rows.
 
 A row fails where a measure lies beyond the fence of its group, quartile plus
 or minus ``SPREAD`` times the distance of the quartiles, and beyond the
-``SLACK`` that no fence may undercut: half a group never fails because the
-group is uniform.
+``SLACK`` that no fence may undercut.
 
 Defined results: a null text counts as empty; null language or source form a
 group of their own; repeated rows are judged one by one and alike; an empty
@@ -25,18 +24,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from carriageway.llm.common import shingle_hashes, whole_text, words_of
+from carriageway.llm.common import shingle_hashes, side, whole_text, words_of
 from carriageway.operators.settle import settled
 
 ACCURACY = 0.02
 SPREAD = 4.0
+#: The distance of the quartiles counts as at least this part of the quartile: a uniform group has some room too.
+LEAST_SPREAD = 0.1
 MIN_GROUP = 200
 WINDOW_WORDS = 5
 
 #: Measure to (least upper fence, greatest lower fence); None: no fence on that side.
 SLACK: dict[str, tuple[float | None, float | None]] = {
-    "symbol_share": (0.10, None),
-    "dup_line_share": (0.30, None),
+    "symbol_share": (0.05, None),
+    "dup_line_share": (0.50, None),
     "repeat_share": (0.20, None),
     "upper_share": (0.40, None),
     "mean_word": (12.0, 2.5),
@@ -144,8 +145,8 @@ def thresholds(rows: DataFrame) -> DataFrame:
     use = (F.when(F.col("rows") >= MIN_GROUP, F.struct("q1", "q3"))
            .when(F.col("of_lang.rows") >= MIN_GROUP, F.struct("of_lang.q1", "of_lang.q3")).otherwise(F.struct("of_all.q1", "of_all.q3")))
     fenced = both.select("_group", "measure", use.alias("u")).withColumns({
-        "upper": F.col("u.q3") + SPREAD * (F.col("u.q3") - F.col("u.q1")),
-        "lower": F.col("u.q1") - SPREAD * (F.col("u.q3") - F.col("u.q1")),
+        "upper": F.col("u.q3") + SPREAD * F.greatest(F.col("u.q3") - F.col("u.q1"), LEAST_SPREAD * F.col("u.q3")),
+        "lower": F.col("u.q1") - SPREAD * F.greatest(F.col("u.q3") - F.col("u.q1"), LEAST_SPREAD * F.col("u.q1")),
     })
     pick = lambda k, side: F.max(F.when(F.col("measure") == k, F.col(side)))
     limits = []
@@ -164,8 +165,8 @@ def judged(docs: DataFrame, carry: Sequence[str] = ("doc_id",), text: str = "tex
     of them, the filter the rest.
     """
     rows = settled(measured(docs, carry, text), "quality-rows")
-    limits = thresholds(rows).withColumnRenamed("_group", "_limits_of")
-    both = rows.join(limits, F.col("_group").eqNullSafe(F.col("_limits_of")), "left").drop("_limits_of")
+    limits = settled(thresholds(rows).withColumnRenamed("_group", "_limits_of"), "quality-limits")
+    both = rows.join(side(limits), F.col("_group").eqNullSafe(F.col("_limits_of")), "left").drop("_limits_of")
     bad = F.lit(False)
     for k, value in shares().items():
         top, low = SLACK[k]
