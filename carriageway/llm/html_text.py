@@ -50,7 +50,7 @@ _SAME_LEVEL = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"
 
 _BEFORE = ("site|page|top|bottom|left|right|main|global|primary|secondary|user|reader|sub|inline|js|cookie|related|social|google|text|"
            "display|native|sticky|mobile|post|entry|article|story|content|blog|web|email|e|view|leave|add|in|house|third|party|privacy|legal|back")
-_NAMES = ("ad|ads|advert|adverts|adv|advertisement|advertisements|advertising|adsense|sponsor|sponsors|sponsored|promo|promos|promotion|"
+_NAMES = ("ad|ads|advert|adverts|adv|advertisement|advertisements|advertising|adsense|adsbygoogle|sponsor|sponsors|sponsored|promo|promos|promotion|"
           "promotions|promoted|banner|banners|cookie|cookies|consent|gdpr|notice|notices|notification|notifications|alert|alerts|popup|popover|"
           "modal|overlay|lightbox|sidebar|sidebars|aside|rail|menu|menus|nav|navs|navbar|navigation|breadcrumb|breadcrumbs|footer|footers|"
           "foot|comment|comments|commentlist|disqus|respond|reply|replies|discussion|feedback|share|shares|sharing|social|"
