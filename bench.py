@@ -19,7 +19,7 @@ HEADLINE = [
     "p16_work_zone_conflicts", "p35_road_segments", "r03_yoy_trend", "r04_bridge_investment", "r05_pavement_needs_by_class",
     "r10_bridge_risk_by_zone", "r13_sensor_gaps", "g11_point_in_polygon", "q04_vehicle_checks", "q12_profile",
     "w08_sequence_number", "p26_live_incidents", "p30_html_incidents", "t10_tumbling_window", "p18_stream_silver_incidents",
-    "l18_roc_auc",
+    "l18_roc_auc", "l12_wear_forest", "q13_numeric_drift", "j04_cell_join", "snk01_partitioned_overwrite",
 ]
 
 
