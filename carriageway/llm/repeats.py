@@ -154,9 +154,15 @@ def segments(docs: DataFrame) -> DataFrame:
             order = np.lexsort((at, doc, seg, hashed))
             again = np.zeros(len(order), bool)
             again[1:] = (hashed[order][1:] == hashed[order][:-1]) & (seg[order][1:] == seg[order][:-1])
+            # A row equal in id and text has the same places: it marks nothing of its twin.
+            lead = np.maximum.accumulate(np.where(again, 0, np.arange(len(order))))
+            twin = again & (doc[order] == doc[order][lead]) & (at[order] == at[order][lead])
+            order, again = order[~twin], again[~twin]
             shape = np.where(again, -shape[order], shape[order])
+            # What is known to be a repeat is spread by its place: a hot anchor keeps one row per batch and segment.
+            spread = np.where(again, mixed((at[order] ^ mixed(doc[order].astype(np.uint64)).view(np.int64)).view(np.uint64)), hashed[order])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hashed[order].view(np.int64)), pa.array(seg[order].view(np.int64)), pa.array(doc[order]), pa.array(at[order]),
+                [pa.array(spread.view(np.int64)), pa.array(seg[order].view(np.int64)), pa.array(doc[order]), pa.array(at[order]),
                  pa.array(shape.astype(np.int32))], [x.split()[0] for x in _SEGMENT.split(", ")])
 
     return keyed(docs).mapInArrow(cut, _SEGMENT)
@@ -166,15 +172,23 @@ def sorted_out(rows: DataFrame) -> DataFrame:
     """Segments whose anchor occurs with other bytes too, as they are, and whole repeats, with a minus sign.
 
     Input sorted by (anchor, seg, doc, at); a row only waits for its neighbours.
+    Rows that come with a minus sign are told already and pass through.
     """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in _SEGMENT.split(", ")]
         last = wait = None  # the row before; the first row of its segment, not yet known to have a different neighbour
+        leader = (0, 0)  # document and place of that first row
         for batch in batches:
             if not batch.num_rows:
                 continue
             cols = [batch.column(c).to_numpy() for c in names]
+            told = cols[4] < 0
+            if told.any():
+                yield pa.RecordBatch.from_arrays([pa.array(c[told]) for c in cols], names)
+                cols = [c[~told] for c in cols]
+                if not len(cols[0]):
+                    continue
             anchor, seg = cols[0], cols[1]
             head = last is not None and last[0] == anchor[0]
             same_anchor = np.concatenate([[head], anchor[1:] == anchor[:-1]])
@@ -192,6 +206,10 @@ def sorted_out(rows: DataFrame) -> DataFrame:
             if len(lead):
                 # The last one is told by the next batch; a kept one need not wait.
                 wait = None if keep[-1] else tuple(int(c[lead[-1]]) for c in cols)
+            spot = np.maximum.accumulate(np.where(same, -1, np.arange(len(same))))
+            lead_doc, lead_at = (np.where(spot >= 0, c[spot], first) for c, first in zip((cols[2], cols[3]), leader))
+            leader = int(lead_doc[-1]), int(lead_at[-1])
+            same &= (cols[2] != lead_doc) | (cols[3] != lead_at)
             take = np.concatenate([np.flatnonzero(same), lead[keep]])
             out = [c[take] for c in cols]
             out[4] = np.concatenate([-np.abs(cols[4][same]), cols[4][lead[keep]]]).astype(np.int32)
