@@ -43,7 +43,7 @@ from carriageway.operators.settle import settled
 LENGTH = 100
 GRAM = 24
 CHUNK_BYTES = 4 << 20
-INDEX_BYTES = 2 << 20
+INDEX_BYTES = 1 << 19
 GROUP_SEGMENTS = 2048
 NO_ID = (1 << 63) - 1
 
@@ -224,27 +224,37 @@ def types() -> list[pa.DataType]:
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
-    """Start positions of all suffixes in order, by prefix doubling from eight bytes on."""
+    """Start positions of all suffixes in order.
+
+    The first eight bytes sort all suffixes; prefix doubling then goes over
+    those alone that are not yet told apart.
+    """
     n = len(text)
     x = np.concatenate([text, np.zeros(8, np.uint8)]).astype(np.uint64)
     word = np.zeros(n, np.uint64)
     for k in range(8):
         word = (word << np.uint64(8)) | x[k:k + n]
     order = np.argsort(word, kind="stable")
-    new = np.concatenate([[True], word[order][1:] != word[order][:-1]])
-    # Near the end a word is padded with zero bytes; a shorter suffix sorts before its padded twin by its rank beyond the end.
-    rank = np.empty(n, np.int64)
-    rank[order] = np.cumsum(new)
-    depth = 8
-    while rank[order[-1]] < n and depth < 2 * n:
-        short = min(n, depth)
-        beyond = np.concatenate([rank[short:], np.arange(-1, -short - 1, -1)])
-        key = rank * (2 * n + depth + 2) + (beyond + depth + 1)
-        order = np.argsort(key, kind="stable")
-        sorted_key = key[order]
-        rank[order] = np.cumsum(np.concatenate([[True], sorted_key[1:] != sorted_key[:-1]]))
+    new = np.ones(n, bool)
+    new[1:] = word[order][1:] != word[order][:-1]
+    slots, rank, depth = np.arange(n), np.empty(n + 1, np.int64), 8
+    rank[n] = -1
+    while True:
+        # A group's rank is its first slot; a group of one is settled.
+        rank[order[slots]] = np.maximum.accumulate(np.where(new, slots, 0))
+        slots = slots[~(new & np.append(new[1:], True))]
+        if not len(slots):
+            return order
+        place = order[slots]
+        group, ahead = rank[place], place + depth
+        # Beyond the end the shorter suffix comes first.
+        beyond = np.where(ahead < n, rank[np.minimum(ahead, n)], n - 1 - ahead)
+        key = group * (2 * n + depth + 2) + (beyond + n + depth + 1)
+        by = np.argsort(key, kind="stable")
+        order[slots], key = place[by], key[by]
+        new = np.ones(len(slots), bool)
+        new[1:] = key[1:] != key[:-1]
         depth *= 2
-    return order
 
 
 def neighbour_matches(text: np.ndarray, order: np.ndarray) -> np.ndarray:
