@@ -47,6 +47,7 @@ TRAIN_ROWS = 20_000
 FEATURES = 2048
 MINED_VOTERS = 48
 LEAST_DOCS = 3
+LEAST_DEVIATIONS = 4.0
 PREFIXES = range(3, 8)
 LABEL_ACCURACY = 0.98
 FOLDS = 5
@@ -133,7 +134,10 @@ def mined(docs: DataFrame, sample: DataFrame) -> tuple[list[tuple[str, int, int]
     n1, n0 = size[0]["toxic"], size[0]["other"]
     p1, p0 = (F.col("toxic") + 0.5) / (n1 + 1.0), (F.col("other") + 0.5) / (n0 + 1.0)
     telling = F.abs(F.log(p1 / p0)) * F.sqrt(F.abs(p1 - p0))
-    top = counts.where("pattern != ''").orderBy(telling.desc(), "pattern").limit(FEATURES).collect()
+    # A pattern whose rates differ by chance would only add noise to the classifier.
+    rate = (F.col("toxic") + F.col("other")) / (n1 + n0)
+    beyond = F.abs(F.col("toxic") / n1 - F.col("other") / n0) / F.sqrt(rate * (1 - rate) * (1 / n1 + 1 / n0) + F.lit(1e-12))
+    top = counts.where((F.col("pattern") != "") & (beyond >= LEAST_DEVIATIONS)).orderBy(telling.desc(), "pattern").limit(FEATURES).collect()
     return [(r["pattern"], r["toxic"], r["other"]) for r in top], n1, n0
 
 
@@ -228,7 +232,7 @@ def evidence(both: np.ndarray, n: int, prior: float) -> np.ndarray:
         low = spread * (use * strength**2).sum(axis=1) + 1e-9
         strength = 0.5 * strength + 0.5 * np.where(use.any(axis=1), top / low, strength)
     hit_if_toxic = np.clip(rate + (1 - prior) * strength, 1e-6, 1.0)
-    accuracy = np.clip(prior * hit_if_toxic / np.maximum(rate, 1e-9), 0.5, 0.99)
+    accuracy = np.clip(prior * hit_if_toxic / np.maximum(rate, 1e-9), prior, 0.99)
     left = np.where(use, covariance - spread * np.outer(strength, strength), 0)
     scale = np.sqrt(np.outer(rate * (1 - rate), rate * (1 - rate))) + 1e-9
     shared = 1 + np.clip(left / scale, 0, 1).sum(axis=1)
