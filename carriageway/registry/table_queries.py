@@ -276,7 +276,7 @@ def _(i):
     "TIMESTAMP '2024-12-31 00:00:00' AS logged_at FROM orders"))
 def _(i):
     path, log = shared_dir(i.spark, "orders"), shared_dir(i.spark, "history")
-    row = sinks.write_logged(orders(i), "WRITE", at_midnight(AS_OF), lambda df: sinks.overwrite(df, path))
+    row = sinks.write_logged(orders(i), path, "WRITE", at_midnight(AS_OF), sinks.overwrite)
     sinks.append(row, log)
     return i.spark.read.parquet(log)
 

@@ -122,12 +122,12 @@ def test_geojson_skips_blank_geometry_and_keeps_properties(spark):
     assert len(rows) == 2 and '"coordinates":[[[0.0,0.0],' in rows[1]
 
 
-def test_write_is_counted_while_it_is_written(spark):
+def test_a_write_is_counted_by_its_own_files(spark):
     from pyspark.sql import functions as F
 
     path = shared_dir(spark, "logged")
     for _ in range(2):
-        row = sinks.write_logged(spark.range(7).withColumnRenamed("id", "k"), "APPEND", F.lit("now"), lambda df: sinks.append(df, path)).first()
+        row = sinks.write_logged(spark.range(7).withColumnRenamed("id", "k"), path, "APPEND", F.lit("now"), sinks.append).first()
         assert tuple(row) == ("APPEND", 7, "k", "now")
     assert spark.read.parquet(path).count() == 14
 
