@@ -123,9 +123,11 @@ add("j03_inner", lambda i: i.table("orders").join(i.table(LINE), C("o_orderkey")
     "SELECT o_orderkey, o_orderstatus, l_linenumber, l_quantity FROM orders JOIN lineitem ON o_orderkey = l_orderkey")
 block("sensor_at", "fx_sensors", with_cell("fx_sensors", "latitude", "longitude", 6, "cell6"))
 block("road_at", "fx_roads", with_cell("fx_roads", "start_lat", "start_lon", 6, "cell6"))
-add("j04_cell_join", lambda i: i.fx("sensors").withColumn("cell6", hex_cell("latitude", "longitude", 6)).join(
-        i.fx("roads").withColumn("cell6", hex_cell("start_lat", "start_lon", 6)), "cell6").select("sensor_id", "segment_id", "cell6"),
-    using("sensor_at road_at", "SELECT sensor_id, segment_id, cell6 FROM sensor_at JOIN road_at USING (cell6)"))
+# Sensors are totalled per cell first: the join then grows with roads, not with pairs.
+add("j04_cell_join", lambda i: i.fx("roads").withColumn("cell6", hex_cell("start_lat", "start_lon", 6)).join(
+        i.fx("sensors").groupBy(hex_cell("latitude", "longitude", 6).alias("cell6")).agg(F.count(F.lit(1)).alias("sensors")), "cell6")
+    .select("segment_id", "cell6", "sensors"),
+    using("sensor_at road_at", "SELECT segment_id, cell6, sensors FROM road_at JOIN (SELECT cell6, count(*) AS sensors FROM sensor_at GROUP BY 1) USING (cell6)"))
 
 
 def zone_hits(i):

@@ -171,14 +171,17 @@ def _(i):
     return i.spark.table(name).groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("snk08_stream_table", "SELECT event_id, event_type FROM events")
+@query("snk08_stream_table", "SELECT event_id, event_type, 'Events as they arrive' AS table_comment, 'bronze' AS quality FROM events")
 def _(i):
     db = own_database(i)
     stream = event_stream(i).select("event_id", "event_type")
     jobs.start_table(
         stream, f"{db}.bronze_events", shared_dir(i.spark, "checkpoint"), "Events as they arrive", "bronze",
     ).awaitTermination()
-    return i.spark.table(f"{db}.bronze_events")
+    name = f"{db}.bronze_events"
+    quality = i.spark.sql(f"SHOW TBLPROPERTIES {name} ('quality')").first()["value"]
+    return i.spark.table(name).select(
+        "event_id", "event_type", F.lit(i.spark.catalog.getTable(name).description).alias("table_comment"), F.lit(quality).alias("quality"))
 
 
 def drawn_roads(i: Inputs) -> DataFrame:
