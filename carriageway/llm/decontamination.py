@@ -1,9 +1,9 @@
 """Benchmark passages in documents, by SimHash of item-sized windows.
 
-Words are lower-case runs of letters and digits; shingles are five words. Only
-windows that contain a shingle of the benchmark can reach the similarity, so
-these are the windows that exist: of each item's size, at the starts that line
-a shared shingle up with its place in the item, ``SHIFT`` words either way.
+Words are lower-case runs of letters and digits; shingles are five words. At
+the similarity a window shares a least number of shingles with an item of its
+size, in whatever order. All windows with so many shingles of items of the size
+exist, at every start, and no others.
 Windows and items of one size get SimHash fingerprints; blocks of bits (one
 more than the radius) guarantee that every pair within the radius meets in a
 block, and a pair counts in its first common block only. The multiset
@@ -31,7 +31,6 @@ from carriageway.operators.settle import settled
 
 SHINGLE = 5
 SIMILARITY = 0.8
-SHIFT = 2
 #: Two windows of 40 shingles at the similarity differ in 10 bits on average, with a deviation of 3.
 RADIUS = 20
 
@@ -69,6 +68,23 @@ def block_values(fp: Column, radius: int) -> Column:
     return F.array(*[F.shiftrightunsigned(fp, a).bitwiseAND(F.lit((1 << w) - 1)) for a, w in blocks(radius)])
 
 
+def window_starts(similarity: float) -> Column:
+    """Starts of all windows that can reach the similarity with an item of their size, of rows (size, held, at).
+
+    ``at`` are the sorted places of shingles that some item of the size has, ``held`` is the text's number of
+    shingles. A window needs a least number of such places, and those with so many start, for some run of that
+    many places, at or before the run's first and end at or behind its last.
+    """
+    size, held = F.col("size"), F.col("held")
+    # Rounding must not ask for one more than the similarity does.
+    need = F.ceil((F.least(held, size) + size) * (similarity / (1 + similarity)) - F.lit(1e-6)).cast("int")
+    last = lambda i: F.get(F.col("at"), i + need - 1)
+    runs = F.filter(F.transform("at", lambda p, i: F.struct(p.alias("first"), last(i).alias("last"))),
+                    lambda r: r["last"].isNotNull() & (r["last"] - r["first"] < size))
+    return F.array_distinct(F.flatten(F.transform(runs, lambda r: F.sequence(
+        F.greatest(r["last"] - size + 1, F.lit(0)), F.least(r["first"], F.greatest(held - size, F.lit(0)))))))
+
+
 def near_pairs(windows: DataFrame, items: DataFrame, radius: int) -> DataFrame:
     """Windows joined with the items of their size whose fingerprints lie within the radius."""
     left = windows.select("*", F.posexplode(block_values(F.col("_fp"), radius)).alias("_block", "_value"))
@@ -92,24 +108,20 @@ def leaks(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, similarit
     known = settled(parts.select("h").distinct(), "leak-shingles")
 
     texts = docs.select(F.md5(whole_text().cast("binary")).alias("key"), whole_text().alias("_t"))
-    spots = shingled(texts, "_t").select("key", F.posexplode_outer("_h").alias("pos", "h"))
-    hits = settled(spots.join(side(known.withColumnRenamed("h", "known_h")), F.col("h") == F.col("known_h")).select("key", "pos", "h").distinct(), "leak-hits")
+    spots = shingled(texts, "_t").select("key", F.size("_h").alias("held"), F.posexplode_outer("_h").alias("pos", "h"))
+    hits = settled(spots.join(side(known.withColumnRenamed("h", "known_h")), F.col("h") == F.col("known_h")).select("key", "held", "pos", "h").distinct(), "leak-hits")
 
-    places = parts.select("size", "at", F.col("h").alias("item_h")).distinct()
-    starts = hits.join(places, F.col("h") == F.col("item_h")).select(
-        "key", "size", F.explode(F.transform(F.array(*[F.lit(d) for d in range(-SHIFT, SHIFT + 1)]),
-                                             lambda d: F.greatest(F.col("pos") - F.col("at") + d, F.lit(0)))).alias("start")).distinct()
-    starts = settled(starts, "leak-starts")
+    places = parts.select("size", F.col("h").alias("item_h")).distinct()
+    shared_at = hits.join(places, F.col("h") == F.col("item_h")).groupBy("key", "size").agg(
+        F.max("held").alias("held"), F.sort_array(F.collect_set("pos")).alias("at"))
+    starts = settled(shared_at.select("key", "size", F.explode(window_starts(similarity)).alias("start")), "leak-starts")
 
     # Texts are not shuffled for the few that have hits, as long as their keys can be broadcast.
     found = settled(starts.select(F.xxhash64("key").alias("found_key")).distinct(), "leak-texts")
     own = (docs.select(F.md5(whole_text().cast("binary")).alias("text_key"), whole_text().alias("_t"))
            .join(side(found), F.xxhash64("text_key") == F.col("found_key"), "left_semi").groupBy("text_key").agg(F.first("_t").alias("_t")))
-    # The window ends with the text; a start too late for a whole window moves forward.
-    cut = (starts.join(shingled(own, "_t"), F.col("key") == F.col("text_key"))
-           .withColumn("start", F.greatest(F.least("start", F.size("_h") - F.col("size")), F.lit(0))))
-    inside = settled(cut.select("key", "size", "start", F.slice("_h", F.col("start") + 1, F.col("size")).alias("_in")).dropDuplicates(["key", "size", "start"]),
-                     "leak-windows")
+    cut = starts.join(shingled(own, "_t"), F.col("key") == F.col("text_key"))
+    inside = settled(cut.select("key", "size", "start", F.slice("_h", F.col("start") + 1, F.col("size")).alias("_in")), "leak-windows")
     window_key = ["key", "size", "start"]
     shingles = inside.select(*window_key, F.explode("_in").alias("h"))
     pairs = near_pairs(settled(fingerprints(shingles, window_key), "leak-window-prints"),

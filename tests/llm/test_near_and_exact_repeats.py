@@ -139,6 +139,38 @@ def test_leaks_match_brute_force(spark):
     assert decontamination.report(df.limit(0), bench).count() == 0 and decontamination.clean(df, bench.limit(0)).count() == len(docs)
 
 
+def test_leaks_of_reordered_passages(spark):
+    """Halves or sentences of an item in another order, where no shingle's place leads to the best window."""
+    rng = random.Random(4)
+    fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    items = [(i, fresh(50 + 5 * i)) for i in range(8)]
+    docs = []
+    for i, w in items:
+        h, third = len(w) // 2, len(w) // 3
+        moved = (w[h:] + w[:h], w[2 * third:] + w[:2 * third], w[third:] + w[:third], w[h:] + w[:h])[i % 4]
+        docs.append((100 + i, " ".join(fresh(300) + moved + fresh(300))))
+        docs.append((200 + i, " ".join(moved)))
+    docs.append((300, " ".join(items[0][1] * 3)))
+    docs.append((301, " ".join(items[7][1][:80])))
+    items = [(i, " ".join(w)) for i, w in items]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = plain_leaks(docs, items)
+    got = {(r["doc_id"], r["item_id"]): round(r["similarity"], 9) for r in decontamination.report(df, bench).collect()}
+    assert {(100 + i, i) for i in range(8)} < set(want) and got == {k: round(v, 9) for k, v in want.items()}
+    assert {r["doc_id"] for r in decontamination.clean(df, bench).collect()} == {d for d, _ in docs} - {d for d, _ in want}
+
+
+def test_window_starts_leave_none_out(spark):
+    rng = random.Random(6)
+    rows = [(rng.randrange(1, 20), n, sorted(rng.sample(range(n), rng.randrange(max(1, n * 3 // 4), n + 1)))) for n in [rng.randrange(1, 40) for _ in range(300)]]
+    frame = spark.createDataFrame(rows, "size int, held int, at array<int>")
+    for size, held, at, starts in frame.select("size", "held", "at", decontamination.window_starts(0.8).alias("s")).collect():
+        inside = lambda a: sum(a <= p < a + size for p in at)  # noqa: E731,B023
+        whole = min(held, size) + size
+        assert sorted(starts) == [a for a in range(max(1, held - size + 1)) if 9 * inside(a) >= 4 * whole]
+
+
 def test_blocks_guarantee_the_radius():
     cut = decontamination.blocks(decontamination.RADIUS)
     assert len(cut) == decontamination.RADIUS + 1 and sum(w for _, w in cut) == 64 and all(w > 0 for _, w in cut)
