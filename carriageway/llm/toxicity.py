@@ -10,12 +10,14 @@
    over all documents. Agreements are fitted by a product of two voters'
    strengths, which gives each voter's accuracy; what the product leaves over
    is their correlation, and correlated voters share their weight. The
-   posterior of a row adds up its voters' evidence, and for a row of the
-   sample that of its label, a voter of fixed accuracy.
-4. A linear classifier is trained on the sample's posteriors and scores every
+   posterior of a row adds up the evidence of votes and of abstentions. A label
+   is one more voter, which says toxic or clean where there is one; its
+   accuracy comes from its agreement with the others.
+4. A linear classifier is trained on the posteriors of a bounded sample of all
+   documents that are not held out, with or without label, and scores every
    document.
 
-Only the sample's rows, at most about ``TRAIN_ROWS``, and tables of the size of
+Only rows of samples, at most about ``TRAIN_ROWS``, and tables of the size of
 the feature list reach the driver. Labels, language, source and id are never
 features.
 
@@ -42,13 +44,14 @@ from pyspark.sql import functions as F
 from carriageway.llm.common import whole_text
 from carriageway.operators.settle import settled
 
-#: Bound of the labelled rows that patterns are mined from and the classifier is fitted on.
+#: Bound of the labelled rows that patterns are mined from, and of the documents that the classifier is fitted on.
 TRAIN_ROWS = 20_000
 FEATURES = 2048
 MINED_VOTERS = 48
 LEAST_DOCS = 3
 LEAST_DEVIATIONS = 4.0
 PREFIXES = range(3, 8)
+#: Accuracy of a label where no voter agrees with labels, so that none can be estimated; and the most that an estimate may be.
 LABEL_ACCURACY = 0.98
 FOLDS = 5
 
@@ -94,13 +97,16 @@ def extras_of(text: str, words: set[str]) -> list[int]:
     return hits + [len(LISTS) + k for k, form in enumerate(FORMS.values()) if form.search(low)]
 
 
-def sample_of(labels: DataFrame) -> DataFrame:
-    """(label_id, toxic) of at most about ``TRAIN_ROWS`` labelled documents that are not held out, chosen by a hash of the id."""
-    usable = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).where(~held_out())
+def usable_labels(labels: DataFrame) -> DataFrame:
+    """(label_id, toxic) of the labelled documents that are not held out."""
+    return (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).where(~held_out())
               .groupBy(F.col("doc_id").alias("label_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic")))
-    usable = settled(usable, "toxicity-labels")
-    share = min(1.0, TRAIN_ROWS / max(1, usable.count()))
-    return usable.where(F.pmod(F.xxhash64("label_id", F.lit("sample")), F.lit(1 << 30)) <= F.lit(int(share * (1 << 30))))
+
+
+def bounded(rows: DataFrame, key: str) -> DataFrame:
+    """At most about ``TRAIN_ROWS`` of the rows, chosen by a hash of the key."""
+    share = min(1.0, TRAIN_ROWS / max(1, rows.count()))
+    return rows.where(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 30)) <= F.lit(int(share * (1 << 30))))
 
 
 def held_out():
@@ -215,7 +221,12 @@ def agreements(notes: DataFrame, voters: list[int]) -> tuple[np.ndarray, int]:
 
 
 def evidence(both: np.ndarray, n: int, prior: float) -> np.ndarray:
-    """Log odds that a vote adds, per voter, from rates and agreements alone.
+    """Log odds that a vote adds, per voter, from rates and agreements alone."""
+    return label_model(both, n, prior)[0]
+
+
+def label_model(both: np.ndarray, n: int, prior: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per voter: the log odds that a vote adds, those that an abstention adds (none or less), and its strength.
 
     The covariance of two voters is prior (1 - prior) times the product of
     their strengths; a least-squares product is fitted over pairs that agree
@@ -237,7 +248,46 @@ def evidence(both: np.ndarray, n: int, prior: float) -> np.ndarray:
     scale = np.sqrt(np.outer(rate * (1 - rate), rate * (1 - rate))) + 1e-9
     shared = 1 + np.clip(left / scale, 0, 1).sum(axis=1)
     logit = np.log(accuracy / (1 - accuracy))
-    return np.where(rate > 0, np.maximum(logit - math.log(prior / (1 - prior)), 0) / shared, 0.0)
+    votes = np.where(rate > 0, np.maximum(logit - math.log(prior / (1 - prior)), 0) / shared, 0.0)
+    silent_if_toxic = np.maximum(1 - accuracy * rate / prior, 0.01)
+    silent_if_clean = np.maximum(1 - (1 - accuracy) * rate / (1 - prior), 0.01)
+    abstains = np.where(votes > 0, np.minimum(np.log(silent_if_toxic / silent_if_clean), 0) / shared, 0.0)
+    return votes, abstains, np.where(votes > 0, strength, 0.0)
+
+
+def label_evidence(votes: np.ndarray, labels: np.ndarray, strength: np.ndarray, prior: float) -> tuple[float, float]:
+    """Log odds that a label toxic and a label clean add.
+
+    ``votes`` are the votes (0 or 1) on labelled rows. As for two voters, the
+    covariance of the label with a voter is prior (1 - prior) times the product
+    of their strengths, and the voters' are known.
+    """
+    most = 2 * LABEL_ACCURACY - 1
+    own = most
+    if len(labels):
+        covariance = ((labels - labels.mean())[:, None] * (votes - votes.mean(axis=0))).mean(axis=0)
+        weight = np.where(covariance > 0, strength, 0.0)
+        if (weight**2).sum() > 0:
+            own = float(np.clip((covariance * weight).sum() / (prior * (1 - prior) * (weight**2).sum()), 0.0, most))
+    # Labels say toxic as often as the prior has it.
+    if_toxic, if_clean = prior + (1 - prior) * own, prior - prior * own
+    return math.log(if_toxic / if_clean), math.log((1 - if_toxic) / (1 - if_clean))
+
+
+def posteriors(rows: list[list[int]], labels: list[int | None], voters: list[int], model: tuple[np.ndarray, np.ndarray, np.ndarray],
+               prior: float) -> np.ndarray:
+    """Probability that a row is toxic, from the votes in its hits and from its label, where it has one."""
+    place = {v: k for k, v in enumerate(voters)}
+    votes = np.zeros((len(rows), len(voters)))
+    for r, hits in enumerate(rows):
+        votes[r, [place[h] for h in hits if h in place]] = 1
+    vote, abstain, strength = model
+    known = np.array([y is not None for y in labels], bool)
+    given = np.array([y or 0 for y in labels], float)
+    says_toxic, says_clean = label_evidence(votes[known], given[known], strength, prior)
+    logit = math.log(prior / (1 - prior)) + votes @ vote + (1 - votes) @ abstain
+    logit += np.where(known, np.where(given > 0, says_toxic, says_clean), 0.0)
+    return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
 
 def fitted(rows: list[list[int]], target: np.ndarray, n_features: int, turns: int = 600, ridge: float = 0.3) -> tuple[np.ndarray, float]:
@@ -265,7 +315,8 @@ def fitted(rows: list[list[int]], target: np.ndarray, n_features: int, turns: in
 
 def trained(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame]:
     """The fitted model and the noted documents."""
-    sample = settled(sample_of(labels), "toxicity-sample")
+    usable = settled(usable_labels(labels), "toxicity-labels")
+    sample = settled(bounded(usable, "label_id"), "toxicity-sample")
     counts, n1, n0 = mined(docs, sample)
     model = model_for(counts, n1, n0)
     notes = settled(noted(docs, model), "toxicity-notes")
@@ -274,14 +325,11 @@ def trained(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame]:
         model.weights, model.bias = np.full(size, 4.0), -2.0
         return model, notes
     prior = min(0.5, n1 / (n1 + n0))
-    adds = evidence(*agreements(notes, model.voters), prior)
-    rows = notes.join(F.broadcast(sample), F.col("doc_id") == F.col("label_id")).select("hits", "toxic").collect()
-    of_voter = np.zeros(size)
-    of_voter[model.voters] = adds
-    gold = math.log(LABEL_ACCURACY / (1 - LABEL_ACCURACY))
-    logit = np.array([math.log(prior / (1 - prior)) + of_voter[r["hits"]].sum() + (gold if r["toxic"] else -gold) * 2 for r in rows])
-    posterior = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
-    model.weights, model.bias = fitted([r["hits"] for r in rows], posterior, size)
+    voted = label_model(*agreements(notes, model.voters), prior)
+    fit = settled(bounded(notes.where("NOT held_out AND doc_id IS NOT NULL").select("doc_id", "hits"), "doc_id"), "toxicity-fit")
+    rows = fit.join(usable, F.col("doc_id") == F.col("label_id"), "left").select("hits", "toxic").collect()
+    hits = [r["hits"] for r in rows]
+    model.weights, model.bias = fitted(hits, posteriors(hits, [r["toxic"] for r in rows], model.voters, voted, prior), size)
     return model, notes
 
 

@@ -67,3 +67,43 @@ def test_label_model_ranks_voters():
     votes = np.stack([rng.random(n) < np.where(y, a, b) for a, b in rates], axis=1).astype(int)
     adds = toxicity.evidence(votes.T @ votes, n, prior)
     assert min(adds[:3]) > 1.5 > adds[3]
+
+
+def simulated(n, prior, label_accuracy, seed=1):
+    rng = np.random.default_rng(seed)
+    y = rng.random(n) < prior
+    votes = np.stack([rng.random(n) < np.where(y, a, b) for a, b in ((0.7, 0.01), (0.6, 0.02), (0.5, 0.01), (0.4, 0.02))], axis=1).astype(int)
+    return y, votes, np.where(rng.random(n) < label_accuracy, y, ~y).astype(int)
+
+
+def test_label_is_a_voter_of_estimated_accuracy():
+    prior = 0.3
+    odds = []
+    for accuracy in (0.95, 0.8, 0.65):
+        y, votes, labels = simulated(20000, prior, accuracy)
+        strength = toxicity.label_model(votes.T @ votes, len(y), prior)[2]
+        odds.append(toxicity.label_evidence(votes, labels, strength, prior))
+    assert odds[0][0] > odds[1][0] > odds[2][0] > 0 > odds[2][1] > odds[1][1] > odds[0][1]
+    most = toxicity.label_evidence(votes[:0], labels[:0], strength, prior)
+    assert most[0] >= odds[0][0] and most[1] <= odds[0][1]
+
+
+def test_posteriors_weigh_votes_against_labels():
+    prior = 0.3
+    y, votes, labels = simulated(20000, prior, 0.8)
+    rows, model = [np.flatnonzero(v).tolist() for v in votes], toxicity.label_model(votes.T @ votes, len(y), prior)
+    post = toxicity.posteriors(rows, [None if i % 2 else t for i, t in enumerate(labels.tolist())], [0, 1, 2, 3], model, prior)
+    assert ((post >= 0.5) == y).mean() > 0.93 > (labels == y).mean()
+    many, none, unlabelled = votes.sum(axis=1) >= 3, votes.sum(axis=1) == 0, np.arange(len(y)) % 2 == 1
+    assert post[many & ~unlabelled & (labels == 0)].min() > 0.5 > post[none & ~unlabelled & (labels == 1)].max()
+    assert post[none & unlabelled].max() < prior < post[many & unlabelled].min()
+
+
+def test_documents_without_label_train(spark, monkeypatch):
+    data, labels = corpus(600)
+    seen, fit = [], toxicity.fitted
+    monkeypatch.setattr(toxicity, "fitted", lambda rows, target, *a: seen.append((len(rows), target)) or fit(rows, target, *a))
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
+    toxicity.trained(docs, spark.createDataFrame(labels[:300], "doc_id long, quality int, toxic int"))
+    (n, target), = seen
+    assert n == len(target) == sum(zlib.crc32(str(r[0]).encode()) % 5 != 0 for r in data)
