@@ -261,10 +261,9 @@ def main_text(html: str | None) -> str:
             at = parser.parents[at]
     articles = [h for h in own if parser.holder_tags[h] in _ARTICLE]
     outermost = [h for h in articles if not any(a in articles for a in ancestors(parser.parents, h))]
-    if outermost:
-        if len(outermost) > 1 and any(own[h] for h in outermost):
-            outermost = [h for h in outermost if own[h]]
-        held = set(outermost)
+    voted_in = [h for h in outermost if own[h]]
+    if voted_in and sum(own[h] for h in voted_in) >= HOLDS * own[0]:
+        held = set(voted_in)
         return "\n".join(x[0] for x in lines if x[4] in held or any(a in held for a in ancestors(parser.parents, x[4])))
     at = 0
     while True:

@@ -29,6 +29,15 @@ def test_main_text(html, text):
     assert html_text.main_text(html) == text
 
 
+def test_votes_outside_a_teaser_win():
+    body = [f"{'long words of the body ' * 12}{k}" for k in range(6)]
+    text = "<div class='x'>" + "".join(f"<p>{x}</p>" for x in body) + "</div>"
+    teaser = "<article><h3>Also read</h3><p>short teaser</p></article>"
+    assert html_text.main_text(f"<body>{text}{teaser}</body>") == "\n".join(body)
+    assert html_text.main_text(f"<body>{teaser}{text}</body>") == "\n".join(body)
+    assert html_text.main_text(f"<body><article>{text}</article></body>") == "\n".join(body)
+
+
 def test_extracted_rows(spark):
     pages = spark.createDataFrame([(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (None, "x", "<p>a</p>")], "page_id long, url string, html string")
     got = Counter(tuple(r) for r in html_text.extracted(pages.selectExpr("*", "'x' AS text", "1 AS n_chars")).collect())
