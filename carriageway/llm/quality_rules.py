@@ -5,11 +5,12 @@ quantile sketch of logarithmic buckets (relative error ``ACCURACY``): a sketch
 is a table of bucket counts, so sketches merge by adding counts, the partial
 aggregation of a scan merges most of it before the shuffle, and the result
 does not depend on the order of rows. Sketches exist per (language, source);
-their sum per language and over everything serves groups with few rows.
+their sums per language and over everything are the parents of these groups.
 
 A row fails where a measure lies beyond the fence of its group, quartile plus
-or minus ``SPREAD`` times the distance of the quartiles, and beyond the
-``SLACK`` that no fence may undercut.
+or minus ``SPREAD`` times the distance of the quartiles. Quartiles are those of
+the group, blended with its language's, and these with those of everything, by
+the number of rows. No cutoff is fixed; the distance is at least ``NOISE``.
 
 Defined results: a null text counts as empty; null language or source form a
 group of their own; repeated rows are judged one by one and alike; an empty
@@ -31,17 +32,14 @@ ACCURACY = 0.02
 SPREAD = 4.0
 #: The distance of the quartiles counts as at least this part of the quartile: a uniform group has some room too.
 LEAST_SPREAD = 0.1
-MIN_GROUP = 200
+#: A parent weighs as much as this many rows of the group itself.
+PARENT_ROWS = 20
 WINDOW_WORDS = 5
 
-#: Measure to (least upper fence, greatest lower fence); None: no fence on that side.
-SLACK: dict[str, tuple[float | None, float | None]] = {
-    "symbol_share": (0.05, None),
-    "dup_line_share": (0.50, None),
-    "repeat_share": (0.20, None),
-    "upper_share": (0.40, None),
-    "mean_word": (12.0, 2.5),
-}
+#: Measure to the distance of the quartiles that counts at least: what a few symbols, lines or words in a text change.
+NOISE = {"symbol_share": 0.002, "dup_line_share": 0.05, "repeat_share": 0.02, "upper_share": 0.01, "mean_word": 0.2}
+#: Measures with a lower fence too.
+LOWER = ("mean_word",)
 
 _SYMBOLS = r"[#*$%&|<>]"
 _WORD_INSIDE = r"[^\x20\x09-\x0D]"
@@ -142,19 +140,15 @@ def thresholds(rows: DataFrame) -> DataFrame:
     both = (own.withColumn("_lang", by_lang)
             .join(lang, F.col("_lang").eqNullSafe(F.col("_lang_b")) & (F.col("measure") == F.col("_measure_b")))
             .join(every, "measure"))
-    use = (F.when(F.col("rows") >= MIN_GROUP, F.struct("q1", "q3"))
-           .when(F.col("of_lang.rows") >= MIN_GROUP, F.struct("of_lang.q1", "of_lang.q3")).otherwise(F.struct("of_all.q1", "of_all.q3")))
-    fenced = both.select("_group", "measure", use.alias("u")).withColumns({
-        "upper": F.col("u.q3") + SPREAD * F.greatest(F.col("u.q3") - F.col("u.q1"), LEAST_SPREAD * F.col("u.q3")),
-        "lower": F.col("u.q1") - SPREAD * F.greatest(F.col("u.q3") - F.col("u.q1"), LEAST_SPREAD * F.col("u.q1")),
-    })
-    pick = lambda k, side: F.max(F.when(F.col("measure") == k, F.col(side)))
-    limits = []
-    for k, (top, low) in SLACK.items():
-        if top is not None:
-            limits.append(F.greatest(pick(k, "upper"), F.lit(top)).alias(f"{k}_upper"))
-        if low is not None:
-            limits.append(F.least(pick(k, "lower"), F.lit(low)).alias(f"{k}_lower"))
+    share = lambda rows: F.col(rows) / (F.col(rows) + F.lit(PARENT_ROWS))
+    mix = lambda q: (share("rows") * F.col(q) + (1 - share("rows")) * (
+        share("of_lang.rows") * F.col(f"of_lang.{q}") + (1 - share("of_lang.rows")) * F.col(f"of_all.{q}")))
+    noise = F.coalesce(*[F.when(F.col("measure") == k, F.lit(v)) for k, v in NOISE.items()])
+    distance = lambda of: F.greatest(F.col("mix_q3") - F.col("mix_q1"), LEAST_SPREAD * F.col(of), noise)
+    fenced = both.select("_group", "measure", mix("q1").alias("mix_q1"), mix("q3").alias("mix_q3")).withColumns({
+        "upper": F.col("mix_q3") + SPREAD * distance("mix_q3"), "lower": F.col("mix_q1") - SPREAD * distance("mix_q1")})
+    pick = lambda k, side: F.max(F.when(F.col("measure") == k, F.col(side))).alias(f"{k}_{side}")
+    limits = [*[pick(k, "upper") for k in NOISE], *[pick(k, "lower") for k in LOWER]]
     return fenced.groupBy("_group").agg(F.struct(*limits).alias("_fence"))
 
 
@@ -169,10 +163,8 @@ def judged(docs: DataFrame, carry: Sequence[str] = ("doc_id",), text: str = "tex
     both = rows.join(side(limits), F.col("_group").eqNullSafe(F.col("_limits_of")), "left").drop("_limits_of")
     bad = F.lit(False)
     for k, value in shares().items():
-        top, low = SLACK[k]
-        if top is not None:
-            bad = bad | (value > F.col(f"_fence.{k}_upper"))
-        if low is not None:
+        bad = bad | (value > F.col(f"_fence.{k}_upper"))
+        if k in LOWER:
             bad = bad | (value < F.col(f"_fence.{k}_lower"))
     base_failed = (F.col("_m.n_words") < 10) | (100 * F.col("_m.n_repeat_words") > 20 * F.col("_m.n_words"))
     return both.withColumn("_base_failed", base_failed).withColumn("_kept", ~F.col("_base_failed") & ~F.coalesce(bad, F.lit(False)))

@@ -1,6 +1,7 @@
 """HTML extraction, personal data and quality rules against plain Python."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -129,6 +130,22 @@ def test_quality_filter_adapts(spark):
     assert kept == {r[0] for r in plain + table}
 
 
+def test_fences_are_tighter_than_fixed_cutoffs(spark):
+    """Texts far from what their group has fail though no general cutoff would stop them; a small group leans on its parents."""
+    rng = random.Random(3)
+    line = lambda i, k: " ".join("".join(rng.choices("abcdefghij", k=3 + j % 5)) for j in range(12))
+    text = lambda i: "\n".join(line(i, k) for k in range(20))
+    plain = [(i, text(i), "en", "prose", 0) for i in range(300)]
+    odd = [(1000, "\n".join(line(1000, k) + " # $ %" * (k % 2) for k in range(20)), "en", "prose", 0),
+           (1001, "".join(c.upper() if k % 3 == 0 else c for k, c in enumerate(text(1001))), "en", "prose", 0),
+           (1002, "\n".join([line(1002, k) for k in range(20)] + ["again"] * 15), "en", "prose", 0)]
+    small = [(2000 + i, text(2000 + i), "en", "rare", 0) for i in range(2)] + [(2002, odd[0][1], "en", "rare", 0)]
+    df = spark.createDataFrame(plain + odd + small, "doc_id long, text string, lang string, source string, n_chars long")
+    got = quality_rules.report(df).collect()
+    assert not any(r["base_failed"] for r in got)
+    assert {r["doc_id"] for r in got if r["kept"]} == {r[0] for r in plain} | {2000, 2001}
+
+
 def test_quality_stage_columns(spark):
     df = documents(spark)
     assert quality_rules.keep_good(df).schema == df.schema
