@@ -2,23 +2,33 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
+from statistics import fmean, stdev
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carriageway.functions.rules import hash_draw
+from carriageway.operators.boosting import SoftmaxBoosting
 from carriageway.operators.ordered import running_totals, value_slice
+from carriageway.operators.settle import settled
 
 SEED = 42
 TEST_SHARE = 0.2
+#: Labelled rows a model is fitted on at most; with more, rows are drawn by a hash of their key. Scoring has no bound.
+FIT_ROWS = 100_000
+#: Rows of a partition while a model is fitted: a tree level is one short task per partition.
+FIT_PART = 25_000
+#: Bins of a feature: more than the values of any category here.
+BINS = 64
 
 # Feature columns of the three models.
 SEVERITY_CATEGORIES = ["incident_type", "state_code", "road_condition", "weather_condition"]
@@ -61,6 +71,13 @@ def split_by_key(df: DataFrame, key: str, test_share: float = TEST_SHARE) -> tup
     return df.where(~in_test), df.where(in_test)
 
 
+def fit_rows(df: DataFrame, key: str, most: int = FIT_ROWS) -> DataFrame:
+    """The labelled rows to fit on, written once: all of them up to ``most``, else about that many by a hash of the key."""
+    n = df.count()
+    drawn = df if n <= most else df.where(hash_draw(F.col(key), f"fit-{SEED}") < most / n)
+    return settled(drawn.repartition(max(1, -(-min(n, most) // FIT_PART)), key), "fit-rows")
+
+
 def encode_categories(columns: Sequence[str]) -> list[Estimator]:
     """L3. One-hot vectors; an unseen category becomes all zeros."""
     index = StringIndexer(
@@ -113,58 +130,66 @@ def label_encoder(column: str) -> StringIndexer:
     return StringIndexer(inputCol=column, outputCol="label", stringOrderType="alphabetAsc", handleInvalid="error")
 
 
-def severity_model(trees: int = 150, depth: int = 8, rate: float = 0.05, boosted: bool = True) -> Pipeline:
-    """L10. Multiclass severity. Spark boosts two classes, so one model is fitted per class."""
+def tree_stages(categories: Sequence[str], numbers: Sequence[str], impute: bool = False) -> list:
+    """One ``features`` vector for trees: categories as numbered values, which trees split as sets, and numbers as they are."""
+    index = StringIndexer(inputCols=list(categories), outputCols=[f"{c}_ix" for c in categories], handleInvalid="keep", stringOrderType="alphabetAsc")
+    full = [f"{c}_full" for c in numbers] if impute else list(numbers)
+    middle = [impute_numbers(numbers)] if impute else []
+    return [index, *middle, VectorAssembler(inputCols=[*[f"{c}_ix" for c in categories], *full], outputCol="features")]
+
+
+def severity_model(trees: int = 150, depth: int = 8, rate: float = 0.05, boosted: bool = True, patience: int | None = None) -> Pipeline:
+    """L10. Multiclass severity: boosted trees on a shared softmax, or a forest. ``patience`` ends boosting when a held-out tenth gains no more."""
     if boosted:
-        core = OneVsRest(classifier=GBTClassifier(
-            maxIter=trees, maxDepth=depth, stepSize=rate, subsamplingRate=0.8, minInstancesPerNode=10, seed=SEED
-        ))
+        core = SoftmaxBoosting(rounds=trees, depth=depth, rate=rate, subsample=0.8, least_rows=10, bins=BINS, seed=SEED, patience=patience)
     else:
-        core = RandomForestClassifier(numTrees=trees, maxDepth=depth, minInstancesPerNode=10, seed=SEED)
-    return Pipeline(stages=[
-        label_encoder("severity"), *feature_stages(SEVERITY_CATEGORIES, SEVERITY_NUMBERS), core
-    ])
+        core = RandomForestClassifier(numTrees=trees, maxDepth=depth, minInstancesPerNode=10, maxBins=BINS, maxMemoryInMB=512, seed=SEED)
+    return Pipeline(stages=[label_encoder("severity"), *tree_stages(SEVERITY_CATEGORIES, SEVERITY_NUMBERS), core])
 
 
 def risk_model(trees: int = 150, depth: int = 8, rate: float = 0.05) -> Pipeline:
     """L11. Boosted regression of the bridge risk score."""
     core = GBTRegressor(
         labelCol="risk_score", maxIter=trees, maxDepth=depth, stepSize=rate, subsamplingRate=0.8,
-        minInstancesPerNode=10, seed=SEED,
+        minInstancesPerNode=10, maxBins=BINS, seed=SEED,
     )
-    return Pipeline(stages=[*feature_stages(RISK_CATEGORIES, RISK_NUMBERS, "impute"), core])
+    return Pipeline(stages=[*tree_stages(RISK_CATEGORIES, RISK_NUMBERS, impute=True), core])
 
 
 def wear_forest(trees: int = 200, depth: int = 10) -> Pipeline:
     """L12. Random forest of pavement deterioration."""
-    core = RandomForestClassifier(numTrees=trees, maxDepth=depth, minInstancesPerNode=5, seed=SEED)
-    return Pipeline(stages=[*feature_stages(WEAR_CATEGORIES, WEAR_NUMBERS), core])
+    core = RandomForestClassifier(numTrees=trees, maxDepth=depth, minInstancesPerNode=5, maxBins=BINS, maxMemoryInMB=512, seed=SEED)
+    return Pipeline(stages=[*tree_stages(WEAR_CATEGORIES, WEAR_NUMBERS), core])
 
 
 def wear_boosted(trees: int = 200, depth: int = 8, rate: float = 0.1) -> Pipeline:
     """L13. Boosted trees of pavement deterioration."""
     core = GBTClassifier(
-        maxIter=trees, maxDepth=depth, stepSize=rate, subsamplingRate=0.8, minInstancesPerNode=5, seed=SEED
+        maxIter=trees, maxDepth=depth, stepSize=rate, subsamplingRate=0.8, minInstancesPerNode=5, maxBins=BINS, seed=SEED
     )
-    return Pipeline(stages=[*feature_stages(WEAR_CATEGORIES, WEAR_NUMBERS), core])
+    return Pipeline(stages=[*tree_stages(WEAR_CATEGORIES, WEAR_NUMBERS), core])
 
 
-def cross_validated(model: Pipeline, df: DataFrame, evaluator: Evaluator, folds: int = 5) -> DataFrame:
-    """L9. Mean and standard deviation of the fold metric, as one row."""
-    fitted = CrossValidator(
-        estimator=model, estimatorParamMaps=ParamGridBuilder().build(), evaluator=evaluator, numFolds=folds,
-        seed=SEED, parallelism=2,
-    ).fit(df)
+def fold_metrics(make: Callable[[], Pipeline], df: DataFrame, key: str, evaluator: Evaluator, folds: int = 5) -> DataFrame:
+    """L9. The metric of each fold, with mean and sample deviation of all. A fold is a hash of the key; folds are fitted side by side."""
+    fold = F.floor(hash_draw(F.col(key), f"fold-{SEED}") * folds)
+
+    def one(k: int) -> tuple[int, int, float]:
+        test = df.where(fold == k)
+        return k, test.count(), float(evaluator.evaluate(make().fit(df.where(fold != k)).transform(test)))
+
+    with ThreadPool(folds) as pool:
+        rows = pool.map(inheritable_thread_target(df.sparkSession)(one), range(folds))
+    values = [v for _, _, v in rows]
     return df.sparkSession.createDataFrame(
-        [(evaluator.getMetricName(), folds, float(fitted.avgMetrics[0]), float(fitted.stdMetrics[0]))],
-        "metric string, folds int, mean double, sd double",
-    )
+        [(evaluator.getMetricName(), k, n, v, fmean(values), stdev(values)) for k, n, v in rows],
+        "metric string, fold int, n_rows long, value double, mean double, sd double")
 
 
 def importances(model: PipelineModel, scored: DataFrame, top: int = 10) -> DataFrame:
     """L20. Named feature importances, largest first. Its size is the feature count."""
     attrs = scored.schema["features"].metadata["ml_attr"]["attrs"]
-    names = {a["idx"]: a.get("name", str(a["idx"])) for group in attrs.values() for a in group}
+    names = {a["idx"]: a.get("name", str(a["idx"])).removesuffix("_ix").removesuffix("_full") for group in attrs.values() for a in group}
     weights = model.stages[-1].featureImportances.toArray()
     rows = [(names.get(i, str(i)), float(w)) for i, w in enumerate(weights)]
     frame = scored.sparkSession.createDataFrame(rows, "feature string, importance double")
@@ -181,13 +206,11 @@ def signature(frame: DataFrame, inputs: Sequence[str]) -> T.StructType:
     return T.StructType([frame.schema[c] for c in inputs])
 
 
-def missing_inputs(df: DataFrame, signature: T.StructType) -> list[str]:
-    """L27. Differences between a table and a model's input signature, empty if none."""
-    have = {f.name: f.dataType for f in df.schema.fields}
-    problems = [f"missing column {f.name}" for f in signature.fields if f.name not in have]
-    problems += [
-        f"column {f.name} is {have[f.name].simpleString()}, expected {f.dataType.simpleString()}"
-        for f in signature.fields
-        if f.name in have and have[f.name] != f.dataType
-    ]
-    return problems
+def input_report(df: DataFrame, signature: T.StructType, table: str) -> DataFrame:
+    """L27. A table held against a model's input signature: per input its type there, null if missing, and how many rows fill it."""
+    have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    filled = df.agg(*[F.count(f.name).alias(f.name) for f in signature.fields if f.name in have])  # one scan for all inputs
+    rows = [F.struct(F.lit(table).alias("table"), F.lit(f.name).alias("input"), F.lit(f.dataType.simpleString()).alias("expected"),
+                     F.lit(have.get(f.name)).cast("string").alias("found"),
+                     (F.col(f.name) if f.name in have else F.lit(0)).cast("long").alias("n_filled")) for f in signature.fields]
+    return filled.select(F.inline(F.array(*rows)))
