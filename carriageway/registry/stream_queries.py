@@ -15,8 +15,8 @@ from carriageway.registry.core import Inputs, add, query, steady
 from carriageway.registry.table_queries import event_stream
 from carriageway.session import shared_dir
 from carriageway.sources.domain import VIEWS
-from carriageway.sources.sinks import export_json, overwrite
-from carriageway.streaming import jobs
+from carriageway.sources.sinks import export_json
+from carriageway.streaming import evolving, jobs
 
 C = F.col
 
@@ -63,7 +63,8 @@ add("t04_row_enrichment", lambda i: jobs.drain(jobs.enriched_incidents(stream(i,
         "incident_id", "incident_type", "incident_year", "is_weekend", "has_fatality", "milepost"),
     using("fx_incidents", "SELECT incident_id, upper(trim(incident_type)) AS incident_type, cast(year(incident_datetime) AS int) AS incident_year, "
           "dayofweek(incident_datetime) IN (0, 6) AS is_weekend, fatalities > 0 AS has_fatality, milepost FROM fx_incidents"))
-add("t05_stream_dedupe", lambda i: jobs.drain(jobs.deduplicated(stream(i, "pavement"), "segment_id", None), "dedupe").select("segment_id", "iri"),
+add("t05_stream_dedupe", lambda i: jobs.drain_silver(
+        stream(i, "pavement"), "segment_id", {"has_id": "segment_id IS NOT NULL"}, {}, lambda df: df, "dedupe")[0].select("segment_id", "iri"),
     using("fx_pavement", "SELECT DISTINCT segment_id, iri FROM fx_pavement"))
 add("t05_stream_dedupe_bounded", lambda i: jobs.drain(jobs.deduplicated(
         jobs.bronze(event_stream(i)).withColumn("half", F.floor(C("event_id") / 2)), "half"), "dedupe-bounded").select("half"),
@@ -74,24 +75,36 @@ GOLD_SQL = using("stream_silver", (
     f"{rnd('avg(vehicles_involved)', 6)} AS avg_vehicles FROM stream_silver GROUP BY 1, 2, 3, 4"))
 
 
-def silver_chain(i: Inputs) -> dict[str, DataFrame]:
-    return jobs.table_chain(stream(i, "incidents"), {
-        "bronze": jobs.bronze, "silver": jobs.silver_incidents})
+add("t06_gold_from_stream", lambda i: steady(jobs.incident_tables(jobs.bronze(stream(i, "incidents")), "t06")[1]), GOLD_SQL)
+add("t07_available_now_trigger", lambda i: jobs.drain(event_stream(i).select("event_id", "value"), "now"), "SELECT event_id, value FROM events")
 
 
-add("t06_gold_from_stream", lambda i: steady(jobs.monthly_rollup(jobs.drain(jobs.silver_incidents(jobs.bronze(stream(i, "incidents"))), "silver"))), GOLD_SQL)
-add("t07_available_now_trigger", lambda i: jobs.drain(event_stream(i).select("event_id", "value"), "now"), "SELECT event_id, value FROM events")
+@query("t07_processing_time_restart", "SELECT event_id, value FROM events")
+def _(i):
+    """Four files, one a batch: a timed query is stopped after its first batches and goes on from its checkpoint."""
+    source, base = shared_dir(i.spark, "timed-source"), shared_dir(i.spark, "timed")
+    rows = i.table("events").select("event_id", "value")
+    rows.repartition(4).write.parquet(source)
+
+    def write(batch, epoch):
+        batch.write.mode("overwrite").parquet(f"{base}/out/{jobs.BATCH}={epoch}")
+
+    files = jobs.file_stream(i.spark, source, rows.schema, files_per_batch=1)
+    timed = jobs.start_batches(files, write, f"{base}/checkpoint", {"processingTime": "100 milliseconds"})
+    jobs.stop_after(timed, 2)
+    jobs.run_batches(files, write, f"{base}/checkpoint")
+    return i.spark.read.parquet(f"{base}/out").drop(jobs.BATCH)
 
 
 @query("t08_table_chain", using("stream_silver", (
     "SELECT 'bronze' AS layer, count(*) AS n FROM events UNION ALL SELECT 'silver', count(*) FROM stream_silver UNION ALL "
     "SELECT 'gold', count(*) FROM (SELECT DISTINCT state_code, incident_year, incident_month, incident_type FROM stream_silver)")))
 def _(i):
-    chain = silver_chain(i)
-    gold = shared_dir(i.spark, "gold")
-    overwrite(jobs.monthly_rollup(chain["silver"]), gold)
-    chain["gold"] = i.spark.read.parquet(gold)
-    counts = [df.agg(F.lit(name).alias("layer"), F.count(F.lit(1)).alias("n")) for name, df in chain.items()]
+    bronze = jobs.table_chain(stream(i, "incidents"), {"bronze": jobs.bronze})["bronze"]
+    files = jobs.file_stream(i.spark, bronze.inputFiles()[0].rsplit("/", 1)[0], bronze.schema)
+    silver, gold = jobs.incident_tables(files, "t08")
+    layers = {"bronze": bronze, "silver": silver, "gold": gold}
+    counts = [df.agg(F.lit(name).alias("layer"), F.count(F.lit(1)).alias("n")) for name, df in layers.items()]
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
@@ -178,4 +191,26 @@ add("p19_stream_silver_bridges", lambda i: steady(bridge_run(i)[0].select(
           "cast(date_diff('day', cast(last_inspection_date AS date), DATE '2024-12-31') AS int) AS days_since_inspection, "
           "date_diff('day', cast(last_inspection_date AS date), DATE '2024-12-31') > 730 AS inspection_overdue, "
           + rnd("(100 - sufficiency_rating) * 0.5 + cast(2024 - year_built AS double) * 0.3", 1) + " AS risk_score FROM fx_bridges"))
-add("p20_stream_monthly_rollup", lambda i: steady(jobs.monthly_rollup(silver_chain(i)["silver"])), GOLD_SQL)
+add("p20_stream_monthly_rollup", lambda i: steady(jobs.incident_tables(jobs.bronze(stream(i, "incidents")), "p20")[1]), GOLD_SQL)
+
+
+@query("src07_evolving_json", (
+    "SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN user_id END AS user_id, CASE WHEN event_id % 3 = 0 THEN event_type END AS kind, "
+    "event_id % 5 = 0 AS has_rescued, false AS in_quarantine FROM events WHERE event_id % 7 <> 0 "
+    "UNION ALL SELECT NULL, NULL, NULL, false, true FROM events WHERE event_id % 7 = 0"))
+def _(i):
+    """Every fifth user id is text, every third record has a field the schema lacks, every seventh line is cut short."""
+    path = shared_dir(i.spark, "evolving-source")
+    kind = F.when(C("event_id") % 3 == 0, C("event_type")).alias("kind")
+    record = F.when(C("event_id") % 5 == 0, F.to_json(F.struct("event_id", F.concat(F.lit("u"), "user_id").alias("user_id"), kind))).otherwise(
+        F.to_json(F.struct("event_id", "user_id", kind)))
+    cut = F.when(C("event_id") % 7 == 0, F.substring(record, 1, 9)).otherwise(record)
+    i.table("events").select(cut.alias("value")).write.text(path)
+    known = i.table("events").select("event_id", "user_id").schema
+    first, _broken, _base = evolving.ingest(evolving.text_lines(i.spark, path), known)
+    # A second run with the schema that the first one's rescued fields widen.
+    wide = evolving.widened(known, first)
+    table, quarantine, _base = evolving.ingest(evolving.text_lines(i.spark, path), wide)
+    kept = table.select("event_id", "user_id", "kind", C(evolving.RESCUED).isNotNull().alias("has_rescued"), F.lit(False).alias("in_quarantine"))
+    return kept.unionByName(quarantine.select(F.lit(None).cast("long").alias("event_id"), F.lit(None).cast(known["user_id"].dataType).alias("user_id"),
+                                              F.lit(None).cast("string").alias("kind"), F.lit(False).alias("has_rescued"), F.lit(True).alias("in_quarantine")))

@@ -6,8 +6,10 @@ a batch one as well; ``drain`` and ``start`` run them.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,7 +42,9 @@ BRIDGE_SHOULD = {
 }
 LATE = "10 minutes"
 ARRIVAL, REPEATS_WITHIN = "_ingest_time", "1 day"
-BATCH = "_batch"
+BATCH, BUCKET = "_batch", "_bucket"
+#: Folders of the key index of a silver table. A batch reads those of its own keys only.
+BUCKETS = 64
 WINDOW = "5 minutes"
 CONGESTION_BANDS = [(15, "Severe"), (30, "Heavy"), (45, "Moderate")]
 FREE_FLOW = "Free Flow"
@@ -90,8 +94,8 @@ def enriched_incidents(df: DataFrame) -> DataFrame:
     })
 
 
-def silver_incidents(df: DataFrame, when: str | None = None, late: str = REPEATS_WITHIN) -> DataFrame:
-    """P18 as one streaming frame; every key is remembered, as in the published pipeline. ``drain_silver`` needs no such state."""
+def silver_incidents(df: DataFrame, when: str | None = ARRIVAL, late: str = REPEATS_WITHIN) -> DataFrame:
+    """P18 as one streaming frame; repeats are known for ``late``. ``drain_silver`` knows them for ever."""
     return deduplicated(enriched_incidents(keep_expected(df, INCIDENT_MUST)), "incident_id", when, late)
 
 
@@ -104,7 +108,7 @@ def enriched_bridges(df: DataFrame) -> DataFrame:
     }).withColumn("inspection_overdue", F.col("days_since_inspection") > INSPECTION_CYCLE_DAYS)
 
 
-def silver_bridges(df: DataFrame, when: str | None = None, late: str = REPEATS_WITHIN) -> DataFrame:
+def silver_bridges(df: DataFrame, when: str | None = ARRIVAL, late: str = REPEATS_WITHIN) -> DataFrame:
     """P19 as one streaming frame."""
     return deduplicated(enriched_bridges(keep_expected(df, BRIDGE_MUST)), "bridge_id", when, late)
 
@@ -221,45 +225,168 @@ def drain_with_totals(
 
 def run_batches(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> None:
     """Hand every micro-batch there is now to ``write``."""
-    (df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-     .trigger(availableNow=True).start().awaitTermination())
+    start_batches(df, write, checkpoint, {"availableNow": True}).awaitTermination()
+
+
+def start_batches(
+    df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, trigger: Mapping[str, object],
+) -> StreamingQuery:
+    """Start handing micro-batches to ``write``, as often as the trigger says, until the query is stopped.
+
+    A batch that a stop or a failure cut short is handed out again under its
+    number when a query starts on the same checkpoint, so ``write`` overwrites
+    what it wrote for that number.
+    """
+    return df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def stop_after(query: StreamingQuery, batches: int, timeout: float = 300.0) -> None:
+    """Stop a running query once it has finished so many batches."""
+    until = time.monotonic() + timeout
+    while query.isActive and time.monotonic() < until and sum(p.batchId >= 0 and p.numInputRows > 0 for p in query.recentProgress) < batches:
+        time.sleep(0.05)
+    query.stop()
+    if query.exception() is not None:
+        raise query.exception()
+
+
+def written(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table at a path; an empty one where nothing has been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def known_keys(spark: SparkSession, base: str, key: str, kind: T.DataType, buckets: list[int], epoch: int) -> DataFrame:
+    """Keys that other batches wrote, from the given folders of the index."""
+    schema = T.StructType([T.StructField(key, kind), T.StructField(BUCKET, T.IntegerType()), T.StructField(BATCH, T.LongType())])
+    return written(spark, f"{base}/keys", schema).where(F.col(BUCKET).isin(buckets) & (F.col(BATCH) != epoch))
+
+
+def silver_batch(
+    batch: DataFrame, epoch: int, base: str, key: str, must: Mapping[str, str], should: Mapping[str, str],
+    enrich: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """Write one batch's log, new rows and new keys under ``base``; returns the rows as written."""
+    spark = batch.sparkSession
+    batch.persist()
+    try:
+        met = " AND ".join(f"coalesce({rule}, false)" for rule in must.values())
+        warned = {name: f"NOT ({met}) OR ({rule})" for name, rule in should.items()}
+        bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+        found = batch.agg(*violations({**must, **warned}), F.collect_set(F.when(F.expr(met), bucket)).alias(BUCKET)).persist()
+        found.drop(BUCKET).write.mode("overwrite").parquet(f"{base}/log/{BATCH}={epoch}")
+        buckets = found.first()[BUCKET]
+        found.unpersist()
+        fresh = one_row_per_key(enrich(keep_expected(batch, must)), [key])
+        known = known_keys(spark, base, key, batch.schema[key].dataType, buckets, epoch).select(F.col(key).alias("_known"))
+        fresh = fresh.join(known, F.col(key) == F.col("_known"), "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{base}/out/{BATCH}={epoch}")
+    finally:
+        batch.unpersist()
+    rows = spark.read.schema(fresh.schema).parquet(f"{base}/out/{BATCH}={epoch}")
+    keys = rows.select(key, bucket.alias(BUCKET), F.lit(epoch).cast("long").alias(BATCH))
+    overwrite_folders(keys.repartition(BUCKET), f"{base}/keys", [BUCKET, BATCH])
+    return rows
 
 
 def drain_silver(
     raw: DataFrame, key: str, must: Mapping[str, str], should: Mapping[str, str],
     enrich: Callable[[DataFrame], DataFrame], purpose: str, base: str | None = None,
+    after: Callable[[DataFrame, int], None] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Run bronze rows into a silver table that stays unique by key for ever, with counts per rule.
 
     Returns the table and the totals: per ``must`` rule the rows it dropped, per
     ``should`` rule the kept rows that break it. Each batch keeps one row per
-    key and leaves out keys that other batches have written, so no state grows
-    in the stream; a replayed batch overwrites itself. ``base`` is given to go
-    on with an earlier run.
+    key and leaves out keys that other batches have written. Those are found in
+    an index of keys alone, in folders by hash: a batch opens only the folders
+    of its own keys, and no state grows in the stream. A replayed batch
+    overwrites itself. ``base`` is given to go on with an earlier run;
+    ``after`` gets the rows each batch has written, such as ``rollup_merger``.
     """
     spark = raw.sparkSession
     base = base or shared_dir(spark, f"silver-{purpose}")
     rules = {**must, **should}
 
     def write(batch: DataFrame, epoch: int) -> None:
-        batch.persist()
-        try:
-            kept = keep_expected(batch, must)
-            met = " AND ".join(f"coalesce({rule}, false)" for rule in must.values())
-            warned = {name: f"NOT ({met}) OR ({rule})" for name, rule in should.items()}
-            batch.agg(*violations({**must, **warned})).write.mode("overwrite").parquet(f"{base}/log/{BATCH}={epoch}")
-            fresh = one_row_per_key(enrich(kept), [key])
-            if epoch >= 0:
-                known = spark.read.parquet(f"{base}/out").where(F.col(BATCH) != epoch).select(F.col(key).alias("_known"))
-                fresh = fresh.join(known, F.col(key) == F.col("_known"), "left_anti")
-            fresh.write.mode("overwrite").parquet(f"{base}/out/{BATCH}={epoch}")
-        finally:
-            batch.unpersist()
+        rows = silver_batch(batch, epoch, base, key, must, should, enrich)
+        if after is not None:
+            after(rows, epoch)
 
-    write(spark.createDataFrame([], raw.schema), -1)
     run_batches(raw, write, f"{base}/checkpoint")
-    log = spark.read.parquet(f"{base}/log").agg(*[F.sum(r).alias(r) for r in rules])
-    return spark.read.parquet(f"{base}/out").drop(BATCH), log
+    counts = T.StructType([T.StructField(r, T.LongType()) for r in rules])
+    log = written(spark, f"{base}/log", counts).agg(*[F.coalesce(F.sum(r), F.lit(0)).alias(r) for r in rules])
+    empty = one_row_per_key(enrich(keep_expected(spark.createDataFrame([], raw.schema), must)), [key])
+    return written(spark, f"{base}/out", empty.schema).drop(BATCH), log
+
+
+#: Keys of the monthly rollup and the folders it is stored in.
+ROLLUP_KEYS = ["state_code", "incident_year", "incident_month", "incident_type"]
+ROLLUP_FOLDERS = ["incident_year", "incident_month"]
+#: Sums of which every measure of the rollup is made.
+ROLLUP_SUMS = ["total_incidents", "total_fatalities", "total_injuries", "fatal_count", "vehicles", "vehicle_rows"]
+ROLLUP_TYPES = T.StructType([
+    T.StructField("state_code", T.StringType()), T.StructField("incident_type", T.StringType()),
+    *[T.StructField(c, T.LongType()) for c in ROLLUP_SUMS],
+    *[T.StructField(c, T.IntegerType()) for c in ROLLUP_FOLDERS],
+])
+
+
+def rollup_parts(silver: DataFrame) -> DataFrame:
+    """What some rows add to the monthly rollup."""
+    return rollup_by(silver, ROLLUP_KEYS, {
+        "total_incidents": F.count("incident_id"), "total_fatalities": F.sum("fatalities"), "total_injuries": F.sum("injuries"),
+        "fatal_count": tally(F.col("has_fatality")), "vehicles": F.sum("vehicles_involved"), "vehicle_rows": F.count("vehicles_involved"),
+    }).select([F.col(f.name).cast(f.dataType) for f in ROLLUP_TYPES.fields])
+
+
+def rollup_merger(base: str) -> Callable[[DataFrame, int], None]:
+    """P20, kept up to date batch by batch; for ``drain_silver``'s ``after``.
+
+    A batch stores its partial sums under its number and merges those of the
+    months it touches, so other months are neither read nor written, raw rows
+    are read once, and a batch that is replayed replaces its own sums.
+    """
+
+    def merge(rows: DataFrame, epoch: int) -> None:
+        spark = rows.sparkSession
+        parts = T.StructType([*ROLLUP_TYPES.fields, T.StructField(BATCH, T.LongType())])
+        fresh = rollup_parts(rows).withColumn(BATCH, F.lit(epoch).cast("long"))
+        overwrite_folders(fresh.repartition(*ROLLUP_FOLDERS), f"{base}/parts", [*ROLLUP_FOLDERS, BATCH])
+        own = written(spark, f"{base}/parts", parts).where(F.col(BATCH) == epoch)
+        months = [(r[0], r[1]) for r in own.select(*ROLLUP_FOLDERS).distinct().collect()]  # a row per month of the batch
+        if not months:
+            return
+        touched = F.lit(False)
+        for year, month in months:
+            touched = touched | (F.col("incident_year").eqNullSafe(F.lit(year)) & F.col("incident_month").eqNullSafe(F.lit(month)))
+        every = written(spark, f"{base}/parts", parts).where(touched)
+        merged = every.groupBy(*ROLLUP_KEYS).agg(*[F.sum(c).alias(c) for c in ROLLUP_SUMS])
+        overwrite_folders(merged.repartition(*ROLLUP_FOLDERS), f"{base}/mart", ROLLUP_FOLDERS)
+
+    return merge
+
+
+def overwrite_folders(df: DataFrame, path: str, folders: list[str]) -> None:
+    """Replace the folders that the rows fall into; others stay as they are."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(path)
+
+
+def merged_rollup(spark: SparkSession, base: str) -> DataFrame:
+    """P20 from the merged sums."""
+    return written(spark, f"{base}/mart", ROLLUP_TYPES).select(
+        *ROLLUP_KEYS, *ROLLUP_SUMS[:4], (F.col("vehicles") / F.when(F.col("vehicle_rows") != 0, F.col("vehicle_rows"))).alias("avg_vehicles"))
+
+
+def incident_tables(raw: DataFrame, purpose: str, base: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Silver incidents and their monthly rollup from one stream of bronze rows."""
+    base = base or shared_dir(raw.sparkSession, f"incidents-{purpose}")
+    silver, _log = drain_silver(raw, "incident_id", INCIDENT_MUST, INCIDENT_SHOULD, enriched_incidents, purpose, base, rollup_merger(f"{base}/gold"))
+    return silver, merged_rollup(raw.sparkSession, f"{base}/gold")
 
 
 def table_chain(events: DataFrame, steps: Mapping[str, Callable[[DataFrame], DataFrame]]) -> dict[str, DataFrame]:

@@ -1,11 +1,12 @@
 """Streams over several batches: late rows, repeats across batches, restart."""
 
 from datetime import datetime, timedelta
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from carriageway.session import shared_dir
-from carriageway.streaming import jobs
+from carriageway.streaming import evolving, jobs
 
 START = datetime(2024, 1, 1, 12, 0)
 
@@ -113,3 +114,104 @@ def test_a_source_without_rows_gives_empty_tables(spark):
     out, log = jobs.drain_with_totals(stream, jobs.INCIDENT_SHOULD, lambda b: b, "none")
     assert out.count() == 0 and tuple(log.first()) == (0, 0)
     assert jobs.drain_silver(stream, "incident_id", jobs.INCIDENT_MUST, {}, lambda df: df, "none")[0].count() == 0
+
+
+def local(path):
+    return Path(path.removeprefix("file:"))
+
+
+def test_a_batch_opens_only_the_key_folders_of_its_own_keys(spark):
+    base = shared_dir(spark, "index")
+    df = spark.createDataFrame([(f"k{i}", i) for i in range(500)], "key string, v int")
+    jobs.silver_batch(df, 0, base, "key", {"has_key": "key IS NOT NULL"}, {}, lambda d: d)
+    folders = sorted(local(base).glob(f"keys/{jobs.BUCKET}=*"))
+    assert len(folders) == jobs.BUCKETS
+    again = spark.createDataFrame([("k7", 1), ("new", 2)], df.schema)
+    own = {r[0] for r in again.select(F.pmod(F.xxhash64("key"), F.lit(jobs.BUCKETS)).cast("int")).collect()}
+    for folder in folders:
+        if int(folder.name.split("=")[1]) not in own:
+            for file in folder.rglob("*.parquet"):
+                file.write_bytes(b"no parquet file")  # reading it would fail
+    rows = jobs.silver_batch(again, 1, base, "key", {"has_key": "key IS NOT NULL"}, {}, lambda d: d)
+    assert [r["key"] for r in rows.collect()] == ["new"]
+    # The same batch again, as after a failure: its own keys do not count as known.
+    assert [r["key"] for r in jobs.silver_batch(again, 1, base, "key", {"has_key": "key IS NOT NULL"}, {}, lambda d: d).collect()] == ["new"]
+
+
+CRASH = "incident_id string, incident_datetime timestamp, longitude double, latitude double, severity string, incident_type string, state_code string, fatalities int, injuries int, vehicles_involved int"
+
+
+def crash(key, month, fatalities=0, vehicles=2):
+    return key, datetime(2024, month, 3), 1.0, 1.0, "Fatal", "crash ", "tn", fatalities, 1, vehicles
+
+
+def test_gold_is_merged_batch_by_batch(spark):
+    path = files(spark, [[crash("a", 1), crash("b", 2, 1)], [crash("c", 2, vehicles=None), crash("a", 2)], [crash("d", 3)]], CRASH)
+    schema = spark.createDataFrame([], CRASH).schema
+    base = shared_dir(spark, "gold")
+
+    def run():
+        return jobs.incident_tables(jobs.bronze(jobs.file_stream(spark, path, schema, "json", files_per_batch=1)), "t", base)
+
+    def stored():
+        return {str(f.parent.name) + f.name for f in local(base).glob("gold/mart/**/*.parquet") if "month=1" in str(f) or "month=2" in str(f)}
+
+    def agree(silver, gold):
+        assert sorted(map(tuple, gold.collect())) == sorted(map(tuple, jobs.monthly_rollup(silver).collect()))
+
+    silver, gold = run()
+    agree(silver, gold)
+    assert {(r["incident_month"], r["total_incidents"], r["total_fatalities"], r["avg_vehicles"]) for r in gold.collect()} == {(1, 1, 0, 2.0), (2, 2, 1, 2.0), (3, 1, 0, 2.0)}
+    # A batch handed out twice replaces its own sums, and other months keep their files.
+    before = stored()
+    merge = jobs.rollup_merger(f"{base}/gold")
+    merge(spark.read.parquet(f"{base}/out").where(f"{jobs.BATCH} = 2").drop(jobs.BATCH), 2)
+    assert stored() == before
+    agree(spark.read.parquet(f"{base}/out"), jobs.merged_rollup(spark, f"{base}/gold"))
+    spark.createDataFrame([crash("e", 3, 2), crash("b", 3)], CRASH).write.mode("append").json(path)
+    silver, gold = run()
+    assert stored() == before and silver.count() == 5
+    agree(silver, gold)
+
+
+def test_a_timed_query_goes_on_where_it_was_stopped(spark):
+    schema = "id int"
+    path = files(spark, [[(1,), (2,)], [(3,)], [(4,)]], schema)
+    made = spark.createDataFrame([], schema).schema
+    base = shared_dir(spark, "timed")
+    seen = []
+
+    def write(batch, epoch):
+        seen.append(epoch)
+        batch.write.mode("overwrite").parquet(f"{base}/out/{jobs.BATCH}={epoch}")
+
+    def stream():
+        return jobs.file_stream(spark, path, made, "json", files_per_batch=1)
+
+    query = jobs.start_batches(stream(), write, f"{base}/checkpoint", {"processingTime": "2 seconds"})
+    jobs.stop_after(query, 1)
+    assert not query.isActive and 0 in seen and len(set(seen)) < 3
+    spark.createDataFrame([(5,)], schema).write.mode("append").json(path)
+    again = jobs.start_batches(stream(), write, f"{base}/checkpoint", {"processingTime": "100 milliseconds"})
+    again.processAllAvailable()
+    again.stop()
+    assert sorted(r["id"] for r in spark.read.parquet(f"{base}/out").collect()) == [1, 2, 3, 4, 5]
+
+
+def test_changed_and_broken_records_are_all_kept(spark):
+    path = shared_dir(spark, "lines")
+
+    def add(*lines):
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(path)
+
+    known = spark.createDataFrame([], "id int, speed double").schema
+    add('{"id": 1, "speed": 3.5}', '{"id": 2, "speed": 4.5, "lane": "left", "extra": {"a": 1}}', '{"id": 3, "speed": "fast"}', '{"id": 4, "spe', "[1, 2]", "", '{"id": null}')
+    out, bad, base = evolving.ingest(evolving.text_lines(spark, path), known)
+    rows = sorted(((r["id"], r["speed"], r[evolving.RESCUED]) for r in out.collect()), key=str)
+    assert rows == [(1, 3.5, None), (2, 4.5, '{"lane":"left","extra":"{\\"a\\":1}"}'), (3, None, '{"speed":"fast"}'), (None, None, None)]
+    assert sorted(r["value"] for r in bad.collect()) == ["[1, 2]", '{"id": 4, "spe'] and all("lines" in r[evolving.ORIGIN] for r in bad.collect())
+    wide = evolving.widened(known, out)
+    assert wide.fieldNames() == ["id", "speed", "extra", "lane"]
+    add('{"id": 5, "speed": 1.0, "lane": "right"}')
+    out, bad, _ = evolving.ingest(evolving.text_lines(spark, path), wide, base)
+    assert {(r["id"], r["lane"]) for r in out.collect()} == {(1, None), (2, None), (3, None), (None, None), (5, "right")} and bad.count() == 2
