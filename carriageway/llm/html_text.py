@@ -10,8 +10,13 @@ notices, adverts, forms, reader comments or hidden never count.
 A page is one row; nothing is shuffled, and memory is bounded by one Arrow
 batch.
 
+End tags that HTML lets out are implied, that of the head among them. Open
+elements are found by their places, so a page of any nesting takes time in
+proportion to its length.
+
 Defined results: null or empty html gives an empty text; html cut off anywhere
-is read as far as it goes; plain text without any tag is one block; repeated
+is read as far as it goes; where all text lies in parts beside the article that
+were never closed, those are read; plain text without any tag is one block; repeated
 rows are treated one by one and alike; an empty table gives no rows; further
 columns of the input are not carried.
 """
@@ -20,6 +25,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -44,10 +50,15 @@ _HOLDERS = frozenset("html body main article section div td table center".split(
 _ARTICLE = frozenset(("article", "main"))
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 _NEVER = frozenset(("html", "body", "main"))
+#: What an open head may hold; anything else ends it.
+_IN_HEAD = frozenset("base link meta title style script noscript template".split())
+_HEADINGS = frozenset(("h1", "h2", "h3"))
 #: An open element of the key ends where one of the values starts, unless one of the third stands between.
 _LIST = frozenset(("ul", "ol", "dl", "table", "menu"))
 _SAME_LEVEL = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
+_LEVELS = _LIST | frozenset().union(*_SAME_LEVEL.values())
+
 _BEFORE = ("site|page|top|bottom|left|right|main|global|primary|secondary|user|reader|sub|inline|js|cookie|related|social|google|text|"
            "display|native|sticky|mobile|post|entry|article|story|content|blog|web|email|e|view|leave|add|in|house|third|party|privacy|legal|back")
 _NAMES = ("ad|ads|advert|adverts|adv|advertisement|advertisements|advertising|adsense|adsbygoogle|sponsor|sponsors|sponsored|promo|promos|promotion|"
@@ -85,19 +96,25 @@ class _Lines(HTMLParser):
         self.links = 0
         self.closed: dict[int, bool] = {}
         self.rescued: set[int] = set()
+        # Places in the stack: of each tag, of blocks, and of what lists and tables are made of. No look-up walks the stack.
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.levels: list[int] = []
 
     def flush(self) -> None:
         if self.text:
             words = _GAP.sub(" ", "".join(self.text)).strip()
             if words:
                 top = self.stack[-1]
-                heading = any(e.tag in ("h1", "h2", "h3") for e in self.stack[-3:])
+                heading = any(self.stack[k].tag in _HEADINGS for k in self.blocks[-2:])
                 self.lines.append([words, max(1, self.tags), self.link_chars, top.noise, top.holder,
                                    top.noise in self.rescued and top.in_article, heading])
             self.text = []
         self.tags = self.link_chars = 0
 
     def handle_starttag(self, tag, attrs):
+        if tag not in _IN_HEAD and self.places.get("head"):
+            self.end_head()
         if tag in _VOID:
             if tag in ("br", "wbr"):
                 self.text.append(" " if tag == "br" else "")
@@ -124,6 +141,11 @@ class _Lines(HTMLParser):
             holder = len(self.parents)
             self.parents.append(top.holder)
             self.holder_tags.append(tag)
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag in _BLOCK:
+            self.blocks.append(len(self.stack))
+        if tag in _LEVELS:
+            self.levels.append(len(self.stack))
         self.stack.append(_Element(tag, noise, holder, in_article))
         self.links += tag == "a"
 
@@ -132,16 +154,17 @@ class _Lines(HTMLParser):
         if tag not in _VOID and tag in ("script", "style", "iframe", "svg", "path", "textarea"):
             self.handle_endtag(tag)
 
+    def end_head(self) -> None:
+        """A head without end tag ends before the first thing that it cannot hold."""
+        self.flush()
+        self.pop_to(self.places["head"][-1], True)
+
     def end_implied(self, tag) -> None:
-        if self.stack[-1].tag == "p" or any(e.tag == "p" for e in self.stack[-4:]):
-            for k in range(len(self.stack) - 1, max(0, len(self.stack) - 5), -1):
-                if self.stack[k].tag == "p":
-                    self.pop_to(k, False)
-                    break
-                if self.stack[k].tag in _BLOCK:
-                    break
+        # A block ends the paragraph around it: an open one with nothing but inline elements between.
+        if (open_p := self.places.get("p")) and self.blocks[-1] == open_p[-1]:
+            self.pop_to(open_p[-1], False)
         if ends := _SAME_LEVEL.get(tag):
-            for k in range(len(self.stack) - 1, 0, -1):
+            for k in reversed(self.levels):
                 if self.stack[k].tag in ends:
                     self.pop_to(k, False)
                     break
@@ -151,9 +174,13 @@ class _Lines(HTMLParser):
     def pop_to(self, k: int, by_own_tag: bool) -> None:
         for e in self.stack[k:]:
             self.links -= e.tag == "a"
+            self.places[e.tag].pop()
         first = self.stack[k]
         if first.noise is not None and self.stack[k - 1].noise is None and (by_own_tag or first.tag in ("p", "li", "td", "th", "dd", "dt", "option")):
             self.closed[first.noise] = True
+        for places in (self.blocks, self.levels):
+            while places and places[-1] >= k:
+                places.pop()
         del self.stack[k:]
 
     def handle_endtag(self, tag):
@@ -161,24 +188,25 @@ class _Lines(HTMLParser):
             if tag == "br":
                 self.text.append(" ")
             return
-        for k in range(len(self.stack) - 1, 0, -1):
-            if self.stack[k].tag == tag:
-                break
-        else:
+        if not self.places.get(tag):
             if tag == "p":
                 self.flush()
             return
+        k = self.places[tag][-1]
         self.tags += 1
+        last_block = self.blocks[-1] if self.blocks else 0
         # An inline element left open ends with the block around it, never the other way round.
-        if tag not in _BLOCK and any(e.tag in _BLOCK for e in self.stack[k + 1:]):
+        if tag not in _BLOCK and last_block > k:
             return
-        if tag in _BLOCK or any(e.tag in _BLOCK for e in self.stack[k:]):
+        if last_block >= k:
             self.flush()
         self.pop_to(k, True)
 
     def handle_data(self, data):
         if self.stack[-1].tag in ("script", "style"):
             return
+        if self.stack[-1].tag == "head" and data.strip():
+            self.end_head()
         self.text.append(data)
         if self.links > 0:
             self.link_chars += len(data)
@@ -244,34 +272,39 @@ def main_text(html: str | None) -> str:
     parser.close()
     parser.flush()
     lines = [x for x in parser.lines if x[3] is None or x[5] and not parser.closed[x[3]]]
+    if not lines:  # something beside the article was left open before it: what follows is all there is
+        lines = [x for x in parser.lines if not parser.closed[x[3]]]
     if not lines:
         return ""
     ratios = smoothed([len(x[0]) / x[1] for x in lines])
     border = threshold(ratios)
     votes = [len(x[0]) if r >= border else 0 for x, r in zip(lines, ratios)]
-    own: dict[int, int] = {}
-    every: dict[int, int] = {}
+    # Holders are numbered in page order, so those inside one are the numbers from its own up to ``end``.
+    parents, n = parser.parents, len(parser.parents)
+    own, end, below, in_article = [0] * n, [0] * n, [[] for _ in range(n)], [False] * n
     for line, vote in zip(lines, votes):
-        at = line[4]
-        while True:
-            own[at] = own.get(at, 0) + vote
-            every[at] = every.get(at, 0) + len(line[0])
-            if at == 0:
-                break
-            at = parser.parents[at]
-    articles = [h for h in own if parser.holder_tags[h] in _ARTICLE]
-    outermost = [h for h in articles if not any(a in articles for a in ancestors(parser.parents, h))]
-    voted_in = [h for h in outermost if own[h]]
+        own[line[4]] += vote
+    for h in range(n - 1, -1, -1):
+        end[h] = max(end[h], h + 1)
+        if h:
+            own[parents[h]] += own[h]
+            end[parents[h]] = max(end[parents[h]], end[h])
+            below[parents[h]].append(h)
+    voted_in = []
+    for h in range(1, n):
+        article = parser.holder_tags[h] in _ARTICLE
+        if article and not in_article[parents[h]] and own[h]:
+            voted_in.append(h)
+        in_article[h] = in_article[parents[h]] or article
     if voted_in and sum(own[h] for h in voted_in) >= HOLDS * own[0]:
-        held = set(voted_in)
-        return "\n".join(x[0] for x in lines if x[4] in held or any(a in held for a in ancestors(parser.parents, x[4])))
+        return "\n".join(x[0] for x in lines if any(h <= x[4] < end[h] for h in voted_in[bisect_right(voted_in, x[4]) - 1:][:1]))
     at = 0
     while True:
-        below = [h for h in own if h and parser.parents[h] == at and own[h] >= HOLDS * own[at] and own[h]]
-        if len(below) != 1:
+        heavy = [h for h in below[at] if own[h] and own[h] >= HOLDS * own[at]]
+        if len(heavy) != 1:
             break
-        at = below[0]
-    inside = [k for k, x in enumerate(lines) if x[4] == at or at in ancestors(parser.parents, x[4]) or at == 0]
+        at = heavy[0]
+    inside = [k for k, x in enumerate(lines) if at <= x[4] < end[at]]
     linked = {k for k in inside if lines[k][2] > LINK_SHARE * len(lines[k][0])}
     if parser.holder_tags[at] in ("", "html", "body"):
         # No element of its own holds the article: the region from the first to the last line voted for,
@@ -287,12 +320,6 @@ def main_text(html: str | None) -> str:
     return "\n".join(lines[k][0] for k in inside if votes[k] or k not in linked)
 
 
-def ancestors(parents: list[int], at: int) -> Iterator[int]:
-    while at:
-        at = parents[at]
-        yield at
-
-
 def extracted(pages: DataFrame, key: str = "page_id", html: str = "html", carry: tuple[str, ...] = ("url",)) -> DataFrame:
     """(key, carried columns, text, n_chars) per page."""
     rows = pages.select(F.col(key), *[F.col(c) for c in carry], F.col(html).cast("string").alias("_html"))

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -39,6 +40,43 @@ def test_votes_outside_a_teaser_win():
     assert html_text.main_text(f"<body><article>{text}</article></body>") == "\n".join(body)
 
 
+LONG = "long text " * 20
+
+
+@pytest.mark.parametrize("html, text", [
+    (f"<html><head><title>T</title><body><div><p>{LONG}</div>", LONG.strip()),  # no </head>
+    (f"<html><head><title>T</title><div><p>{LONG}<p>two</div>", f"{LONG.strip()}\ntwo"),  # no <body> either
+    (f"<head><meta name=a><link rel=b><script>x</script>{LONG}", LONG.strip()),
+    (f"<title>T</title><article><ul><li>{LONG}<li>two<li>three</ul><p>four<h2>five</h2></article>", f"{LONG.strip()}\ntwo\nthree\nfour\nfive"),
+    (f"<article><p><b><i><u><s><em>{LONG}<p>next</article>", f"{LONG.strip()}\nnext"),  # a paragraph under much inline markup
+    (f"<article><table><tr><td>{LONG}<td>b<tr><td>c</table><dl><dt>d<dd>e</dl></article>", f"{LONG.strip()}\nb\nc\nd\ne"),
+    (f"<body><nav><a>menu</a><div><p>{LONG}</p></div></body>", LONG.strip()),  # a menu left open before all there is
+])
+def test_end_tags_left_out(html, text):
+    assert html_text.main_text(html) == text
+
+
+def without_end_tags(html):
+    return re.sub("</head>|</p>|</li>|</body>|</html>", "", html)
+
+
+def test_given_pages_keep_their_text_without_end_tags(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()
+    assert all(html_text.main_text(h) == html_text.main_text(without_end_tags(h)) for (h,) in pages)
+    plain = [re.sub("<(/?)article", r"<\1div", h) for (h,) in pages]
+    assert sum(html_text.main_text(p) == html_text.main_text(without_end_tags(p)) != "" for p in plain) >= 0.99 * len(plain)
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 50_000 + "deep " * 50, "<div><p>x" * 25_000, "<b>" * 30_000 + "x" + "</i>" * 30_000, "<b>" + "<div>" * 30_000 + "</b>" * 30_000,
+    "<ul><li><ul>" + "<div>" * 30_000 + "<li>x</li>" * 10_000, "<article>" * 30_000 + "<p>x</p>" * 1_000, "<p>" + "<i>" * 30_000 + "<p>y" * 3_000,
+])
+def test_hostile_nesting_takes_linear_time(page):
+    start = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - start < 3
+
+
 def test_extracted_rows(spark):
     pages = spark.createDataFrame([(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (None, "x", "<p>a</p>")], "page_id long, url string, html string")
     got = Counter(tuple(r) for r in html_text.extracted(pages.selectExpr("*", "'x' AS text", "1 AS n_chars")).collect())
