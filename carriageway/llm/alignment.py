@@ -24,6 +24,7 @@ import hashlib
 import json
 import os
 from collections.abc import Iterator
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -33,9 +34,9 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from carriageway.llm.common import whole_text
+from carriageway.llm.token_counts import PreTokens
 from carriageway.operators.settle import settled
 
 A_VOCABULARY = "byte_bpe_50k"
@@ -44,6 +45,8 @@ B_VOCABULARY = "piece_bpe_32k"
 HEAVY = 1 << 18
 #: Code points of the texts that are aligned at a time.
 STEP = 1 << 19
+#: Pre-tokens whose ids a worker keeps; all are forgotten when there are more.
+CACHE = 1 << 18
 #: Bits of an id in a packed pair.
 ID_BITS = 20
 
@@ -63,12 +66,13 @@ class Vocabularies:
 
     def __init__(self, a: str, b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        path = public_tokenizers.path(f"{a}.json")
-        self.a = Tokenizer.from_file(path)
+        self.pre = PreTokens(a)
+        self.a = self.pre.tokenizer
         self.a.encode_special_tokens = True  # their strings are plain text
+        self.ids_of: dict[str, list[int]] = {}
         self.b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(f"{b}.model"))
         sign = byte_of_sign()
-        spec = json.loads(Path(path).read_text())
+        spec = json.loads(Path(public_tokenizers.path(f"{a}.json")).read_text())
         entries = {i: s for s, i in spec["model"]["vocab"].items()}
         special = {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
         self.a_bytes = [special[i] if i in special else bytes(sign[c] for c in entries.get(i, "")) for i in range(self.a.get_vocab_size())]
@@ -83,11 +87,21 @@ class Vocabularies:
             return bytes([int(piece[3:5], 16)])
         return piece.replace("▁", " ").encode()
 
+    def a_ids(self, texts: list[str]) -> list[list[int]]:
+        """A's ids of whole texts. A pre-token is encoded by itself, so its ids are kept for the texts to come."""
+        if len(self.ids_of) > CACHE:
+            self.ids_of.clear()
+        odd = [self.pre.is_odd(t) for t in texts]
+        pieces = [[] if o else list(chain.from_iterable(self.pre.lists(t))) for t, o in zip(texts, odd)]
+        new = list(set().union(*pieces).difference(self.ids_of))
+        self.ids_of.update(zip(new, (e.ids for e in self.a.encode_batch_fast(new, add_special_tokens=False))))
+        ids = self.ids_of.__getitem__
+        return [self.a.encode(t, add_special_tokens=False).ids if o else list(chain.from_iterable(map(ids, p))) for t, p, o in zip(texts, pieces, odd)]
+
     def encoded(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of both sides; none for texts that either side does not give back."""
         full = [" " + t for t in texts]
-        a = [e.ids for e in self.a.encode_batch_fast(full, add_special_tokens=False)]
-        b = self.b.encode(texts, num_threads=1)
+        a, b = self.a_ids(full), self.b.encode(texts, num_threads=1)
         a_of, b_of = self.a_bytes.__getitem__, self.b_bytes.__getitem__
         for k, text in enumerate(full):
             raw = text.encode()
@@ -103,11 +117,10 @@ def side_frame(ids: list[list[int]], sizes: np.ndarray) -> tuple[pd.DataFrame, n
     return pd.DataFrame({"at": ends - sizes[flat], "doc": np.repeat(np.arange(len(ids)), [len(i) for i in ids]), "place": np.arange(len(flat))}), flat
 
 
-def overlaps(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    """All pairs (place_a, place_b) of tokens whose byte ranges overlap."""
-    one = pd.merge_asof(left, right, on="at", by="doc", suffixes=("_a", "_b"))
-    two = pd.merge_asof(right, left, on="at", by="doc", suffixes=("_b", "_a"))
-    return pd.concat([one[["place_a", "place_b", "doc"]], two[["place_a", "place_b", "doc"]]], ignore_index=True).drop_duplicates(["place_a", "place_b"])
+def covering(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """For each token of ``left`` the token of ``right`` that covers its first byte, and whether both start there."""
+    found = pd.merge_asof(left, right.assign(first=right["at"]), on="at", by="doc", suffixes=("", "_other"))
+    return found.assign(both=found["first"] == found["at"])
 
 
 def aligned_batch(ids: pa.Array, texts: list[str], both: Vocabularies) -> pa.RecordBatch:
@@ -116,24 +129,28 @@ def aligned_batch(ids: pa.Array, texts: list[str], both: Vocabularies) -> pa.Rec
     a_ids, b_ids = both.encoded(texts)
     left, a = side_frame(a_ids, both.a_size)
     right, b = side_frame(b_ids, both.b_size)
-    pairs = overlaps(left, right)
-    a_end, b_end = left["at"].to_numpy() + both.a_size[a], right["at"].to_numpy() + both.b_size[b]
-    common = np.intersect1d(a_end, b_end, assume_unique=True)
-    a_group, b_group = np.searchsorted(common, a_end), np.searchsorted(common, b_end)
+    of_a, of_b = covering(left, right), covering(right, left)
+    # The union of both directions; a pair that starts together is in both.
+    own = of_b[~of_b["both"]]
+    place_a = np.concatenate([of_a["place"].to_numpy(), own["place_other"].to_numpy()])
+    place_b = np.concatenate([of_a["place_other"].to_numpy(), own["place"].to_numpy()])
     a_doc, b_doc = left["doc"].to_numpy(), right["doc"].to_numpy()
-    a_last, b_last = common[a_group] == a_end, common[b_group] == b_end
+    # A group ends where the next common start or the text's end is.
+    a_first, b_first = of_a["both"].to_numpy(), of_b["both"].to_numpy()
+    a_group, b_group = np.cumsum(a_first) - 1, np.cumsum(b_first) - 1
+    a_last, b_last = np.append(a_first[1:], a_first[:1]), np.append(b_first[1:], b_first[:1])
     # Digest text: the groups one after another, A's ids before B's.
     a_kind = a + a_last * len(both.a_bytes)
     b_kind = b + (2 * len(both.a_bytes)) + b_last * len(both.b_bytes)
     order = np.empty(len(a) + len(b), np.int64)
-    order[np.arange(len(a)) + np.searchsorted(b_group, a_group)] = a_kind
-    order[np.arange(len(b)) + np.searchsorted(a_group, b_group, side="right")] = b_kind
+    order[np.arange(len(a)) + np.flatnonzero(b_first)[a_group]] = a_kind
+    order[np.arange(len(b)) + np.append(np.flatnonzero(a_first)[1:], len(a))[b_group]] = b_kind
     n_a, n_b = np.bincount(a_doc, minlength=n), np.bincount(b_doc, minlength=n)
     stops = np.cumsum(n_a + n_b)
     part = both.parts.__getitem__
     shas = [hashlib.sha256("".join(map(part, order[stop - k:stop].tolist()))[:-1].encode()).hexdigest() if k else "" for stop, k in zip(stops, n_a + n_b)]
-    doc = pairs["doc"].to_numpy()
-    packed = (doc << (2 * ID_BITS)) | (a[pairs["place_a"].to_numpy()] << ID_BITS) | b[pairs["place_b"].to_numpy()]
+    doc = a_doc[place_a]
+    packed = (doc << (2 * ID_BITS)) | (a[place_a] << ID_BITS) | b[place_b]
     distinct, times = np.unique(packed, return_counts=True)
     bounds = pa.array(np.searchsorted(distinct >> (2 * ID_BITS), np.arange(n + 1)).astype(np.int32))
     mask = (1 << ID_BITS) - 1
