@@ -109,7 +109,7 @@ def impute_median(df: DataFrame, column: str, out: str) -> DataFrame:
     Values are counted first and ranked in slices; the driver sees one number.
     """
     counted = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_rows"))
-    ranked = running_totals(counted.withColumn("_all", F.lit(0)), ["_all"], [F.col(column)], value_slice(column), {"_upto": F.col("_rows")})
+    ranked = running_totals(counted.withColumn("_all", F.lit(0)), ["_all"], [F.col(column)], value_slice(counted, column), {"_upto": F.col("_rows")})
     half = F.ceil(ranked.agg(F.max("_upto")).scalar() / 2)
     median = ranked.where(F.col("_upto") >= half).agg(F.min(column)).scalar()
     return df.withColumn(out, F.coalesce(column, median))

@@ -108,7 +108,7 @@ def rank_by(
     """
     tied = df.groupBy(*keys, *columns).agg(F.count(F.lit(1)).alias("_rows"))
     # A NULL sits below every value: give it the lowest slice there is.
-    cut = slice_by if slice_by is not None else value_slice(columns[0])
+    cut = slice_by if slice_by is not None else value_slice(tied, columns[0])
     cut = F.coalesce(cut.cast("double"), F.lit(float("-inf")))
     above = running_totals(tied, keys, order, cut, {"_above": F.col("_rows")}, inclusive=False, descending=True)
     ranks = above.select(*keys, *columns, (F.col("_above") + 1).cast("int").alias(out))
@@ -120,15 +120,17 @@ def rank_desc(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataF
     return rank_by(df, keys, [value], [F.col(value).desc_nulls_last()], out)
 
 
-def value_slice(value: str, steps_per_octave: int = 64) -> Column:
-    """Slice number of a number of unknown range: steps on a signed log scale.
+def value_slice(df: DataFrame, value: str, slices: int = 64) -> Column:
+    """Slice number of a value of unknown range and distribution: how many of its approximate quantiles in ``df`` it exceeds.
 
-    NaN and infinity get the outermost slices: as in Spark's order, NaN is above every number.
+    The quantiles are a scalar subquery over all rows, with partial aggregation;
+    it reuses the exchange that made ``df``. NaN is above every number, as in Spark's order.
     """
     v = F.col(value).cast("double")
-    top = 1100 * steps_per_octave
-    return F.when(F.isnan(v), top + 1).when(F.abs(v) == float("inf"), F.signum(v).cast("long") * top).otherwise(
-        (F.signum(v) * F.floor(F.log2(F.abs(v) + 1) * steps_per_octave)).cast("long"))
+    places = F.array(*[F.lit(k / slices) for k in range(1, slices)])
+    borders = F.coalesce(df.agg(F.percentile_approx(F.when(~F.isnan(v), v), places, 100 * slices)).scalar(), F.array().cast("array<double>"))
+    reached = F.array_position(F.sort_array(F.array_append(borders, v)), v) - 1
+    return F.when(F.isnan(v), slices).when(v.isNotNull(), reached)
 
 
 def spread_scores(df: DataFrame, keys: Sequence[str], value: str, mean: str, spread: str) -> DataFrame:

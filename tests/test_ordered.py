@@ -95,3 +95,22 @@ def test_the_kept_row_does_not_change_with_the_partitions(spark):
     few = one_row_per_key(spark.createDataFrame(rows, "k int, v int").repartition(2), ["k"])
     many = one_row_per_key(spark.createDataFrame(rows[::-1], "k int, v int").repartition(9), ["k"])
     assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
+
+
+@pytest.mark.parametrize("first", [0, 1_700_000_000])
+def test_slices_follow_the_values_wherever_they_lie(spark, first):
+    """A hundred thousand distinct seconds are spread over all slices, from zero on and from an epoch on."""
+    df = spark.range(first, first + 100_000).toDF("at")
+    sizes = [r["count"] for r in df.select(ordered.value_slice(df, "at").alias("s")).groupBy("s").count().collect()]
+    assert len(sizes) == 64 and max(sizes) < 4 * 100_000 / 64
+
+
+def test_ranks_of_epoch_seconds(spark):
+    df = spark.range(5000).selectExpr("1700000000 + id % 1700 AS at")
+    got = ordered.rank_desc(df, [], "at", "place").distinct().collect()
+    counts = [sum(1 for i in range(5000) if i % 1700 == k) for k in range(1700)]
+    above, want = 0, {}
+    for k in reversed(range(1700)):
+        want[1_700_000_000 + k] = above + 1
+        above += counts[k]
+    assert {r["at"]: r["place"] for r in got} == want
