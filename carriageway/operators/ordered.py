@@ -120,17 +120,19 @@ def rank_desc(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataF
     return rank_by(df, keys, [value], [F.col(value).desc_nulls_last()], out)
 
 
-def value_slice(df: DataFrame, value: str, slices: int = 64) -> Column:
+def value_slice(df: DataFrame, value: str, slices: int = 64, of: Column | None = None) -> Column:
     """Slice number of a value of unknown range and distribution: how many of its approximate quantiles in ``df`` it exceeds.
 
     The quantiles are a scalar subquery over all rows, with partial aggregation;
-    it reuses the exchange that made ``df``. NaN is above every number, as in Spark's order.
+    it reuses the exchange that made ``df``. NaN is above every number, as in
+    Spark's order. ``of`` is the value to place, where it is no column of that name.
     """
     v = F.col(value).cast("double")
+    w = v if of is None else of.cast("double")
     places = F.array(*[F.lit(k / slices) for k in range(1, slices)])
     borders = F.coalesce(df.agg(F.percentile_approx(F.when(~F.isnan(v), v), places, 100 * slices)).scalar(), F.array().cast("array<double>"))
-    reached = F.array_position(F.sort_array(F.array_append(borders, v)), v) - 1
-    return F.when(F.isnan(v), slices).when(v.isNotNull(), reached)
+    reached = F.array_position(F.sort_array(F.array_append(borders, w)), w) - 1
+    return F.when(F.isnan(w), slices).when(w.isNotNull(), reached)
 
 
 def spread_scores(df: DataFrame, keys: Sequence[str], value: str, mean: str, spread: str) -> DataFrame:

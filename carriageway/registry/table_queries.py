@@ -259,21 +259,46 @@ def _(i):
         "n_rows", F.lit(i.spark.catalog.getTable(name).description).alias("table_comment"), F.lit(comment).alias("column_comment"))
 
 
-@query("snk15_column_statistics", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1")
-def _(i):
+STATISTICS = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, " + (f"cast(min({c}) AS double) AS least, cast(max({c}) AS double) AS greatest" if number else "cast(NULL AS double) AS least, cast(NULL AS double) AS greatest")
+    + f", count(*) - count({c}) AS n_null FROM orders"
+    for c, number in (("o_orderkey", True), ("o_custkey", True), ("o_orderstatus", False), ("o_totalprice", True)))
+
+
+def analyzed(i: Inputs) -> DataFrame:
     name = f"{own_database(i)}.orders"
     sinks.save_table(orders(i), name)
     sinks.analyze(i.spark, name)
-    return i.spark.table(name).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+    return sinks.column_statistics(i.spark, name)
+
+
+add("snk15_column_statistics", lambda i: analyzed(i).drop("n_distinct"), STATISTICS)
+# The catalog's distinct counts are sketches; a test holds them against exact ones.
+add("snk15_distinct_counts", lambda i: analyzed(i).select("column_name", "n_distinct"))
 
 
 @query("snk16_cluster_files", ORDERS)
 def _(i):
     path = shared_dir(i.spark, "clustered")
-    sinks.overwrite(sinks.clustered(orders(i), ["o_orderstatus", "o_totalprice", "o_orderkey"]), path)
+    sinks.overwrite(sinks.clustered_by_all(orders(i), ["o_custkey", "o_totalprice"], 16), path)
     return i.spark.read.parquet(path)
 
 
+@query("snk16_files_to_read")
+def _(i):
+    """Files that a narrow filter on the first and on the second column has to read, by order of the rows."""
+    least, greatest = orders(i).agg(F.min("o_totalprice"), F.max("o_totalprice")).first()
+    first, last = orders(i).agg(F.min("o_custkey"), F.max("o_custkey")).first()
+    out = None
+    for order, df in (("linear", orders(i).repartitionByRange(16, "o_custkey", "o_totalprice")), ("interleaved", sinks.clustered_by_all(orders(i), ["o_custkey", "o_totalprice"], 16))):
+        path = shared_dir(i.spark, f"clustered-{order}")
+        df.write.parquet(path)
+        for column, low, high in (("o_custkey", first, last), ("o_totalprice", least, greatest)):
+            part = sinks.files_met(i.spark, path, column, low, low + (high - low) / 20).select(F.lit(order).alias("order"), F.lit(column).alias("column"), "files", "met")
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("snk17_write_history", (
     "SELECT 'WRITE' AS operation, count(*) AS rows_written, 'o_orderkey,o_custkey,o_orderstatus,o_totalprice' AS \"columns\", "
     "TIMESTAMP '2024-12-31 00:00:00' AS logged_at FROM orders"))

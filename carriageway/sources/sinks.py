@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from carriageway.functions.cells import cell_boundary
 from carriageway.functions.geometry import extent, geojson_geometry, parse_wkt, polygon_wkt
 from carriageway.functions.text import has_text
+from carriageway.operators.ordered import value_slice
 
 
 def overwrite(df: DataFrame, path: str, parts: Sequence[str] = (), fmt: str = "parquet") -> None:
@@ -65,6 +66,45 @@ def analyze(spark: SparkSession, name: str) -> None:
     spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
 
 
+def column_statistics(spark: SparkSession, name: str) -> DataFrame:
+    """What the catalog knows of each column of an analyzed table, as rows; numbers of a text's smallest and greatest value are null."""
+    rows = []
+    for column in spark.table(name).columns:  # one catalog look-up per column, no scan
+        known = {r["info_name"]: r["info_value"] for r in spark.sql(f"DESCRIBE EXTENDED {name} `{column}`").collect()}
+        known = {k: None if v == "NULL" else v for k, v in known.items()}
+        rows.append((column, *[None if known.get(k) is None else float(known[k]) for k in ("min", "max")],
+                     *[None if known.get(k) is None else int(known[k]) for k in ("num_nulls", "distinct_count")]))
+    return spark.createDataFrame(rows, "column_name string, least double, greatest double, n_null long, n_distinct long")
+
+
+def interleaved(df: DataFrame, columns: Sequence[str], bits: int = 5) -> Column:
+    """Position of a row on a curve through all columns: each column's range number, their bits dealt in turn.
+
+    Ranges hold like numbers of rows: their borders are approximate quantiles of
+    numbers, dates or the first six bytes of texts. NULL counts as the lowest.
+    """
+    kinds = dict(df.dtypes)
+    place = F.lit(0).cast("long")
+    for k, c in enumerate(columns):
+        text = F.conv(F.rpad(F.hex(F.substring(c, 1, 6)), 12, "0").substr(1, 12), 16, 10)
+        value = text.cast("double") if kinds[c] == "string" else F.unix_micros(F.col(c).cast("timestamp")).cast("double") if kinds[c] in ("date", "timestamp") else F.col(c).cast("double")
+        number = F.coalesce(value_slice(df.select(value.alias("_value")), "_value", 1 << bits, of=value).cast("long"), F.lit(0).cast("long"))
+        for bit in range(bits):
+            place = place.bitwiseOR(F.shiftleft(F.shiftright(number, bit).bitwiseAND(F.lit(1).cast("long")), bit * len(columns) + k))
+    return place
+
+
+def clustered_by_all(df: DataFrame, columns: Sequence[str], files: int, bits: int = 5) -> DataFrame:
+    """Rows in files such that a filter on any of the columns skips files, not on the first only."""
+    return df.withColumn("_place", interleaved(df, columns, bits)).repartitionByRange(files, "_place").sortWithinPartitions("_place").drop("_place")
+
+
+def files_met(spark: SparkSession, path: str, column: str, low: object, high: object) -> DataFrame:
+    """How many files of a table there are, and how many hold a value range that meets ``low`` to ``high``: those a filter must read."""
+    ranges = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.min(column).alias("least"), F.max(column).alias("greatest"))
+    return ranges.agg(F.count(F.lit(1)).alias("files"), F.count_if((F.col("least") <= F.lit(high)) & (F.col("greatest") >= F.lit(low))).alias("met"))
+
+
 def clustered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows in range order of the columns, so file statistics can skip files.
 

@@ -1,6 +1,8 @@
 """Column tests over our own marts, plans, metrics, sources."""
 
+import datetime
 import random
+import uuid
 
 import pytest
 from compare import DATA
@@ -157,3 +159,39 @@ def test_silver_table_is_pruned_by_partition(i):
     table = i.spark.table(f"{run_layers(i, 2)}.silver_traffic_incidents")
     plan = table.where("state_code = 'NC' AND incident_year = 2023").select("incident_id")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(state_code" in plan and "incident_year" in plan.split("PartitionFilters")[1]
+
+
+def test_statistics_come_from_the_catalog(spark, i):
+    got = {r["column_name"]: r for r in QUERIES["snk15_distinct_counts"](spark, DATA).collect()}
+    exact = i.table("orders").agg(*[F.countDistinct(c).alias(c) for c in got]).first()
+    assert all(abs(got[c]["n_distinct"] - exact[c]) <= 0.1 * exact[c] for c in got)
+    name = f"marts_{uuid.uuid4().hex[:12]}"
+    sinks.ensure_database(spark, name, shared_dir(spark, name))
+    sinks.save_table(spark.range(10).withColumn("v", F.when(F.col("id") > 6, F.col("id"))), f"{name}.t")
+    assert {r["n_null"] for r in sinks.column_statistics(spark, f"{name}.t").collect()} == {None}  # nothing is known before
+    sinks.analyze(spark, f"{name}.t")
+    assert sorted(map(tuple, sinks.column_statistics(spark, f"{name}.t").collect())) == [("id", 0.0, 9.0, 0, 10), ("v", 7.0, 9.0, 7, 3)]
+
+
+def test_interleaved_files_are_skipped_by_the_second_column(spark):
+    got = {(r["order"], r["column"]): r["met"] for r in QUERIES["snk16_files_to_read"](spark, DATA).collect()}
+    assert got["interleaved", "o_totalprice"] < got["linear", "o_totalprice"] / 2
+    assert got["interleaved", "o_custkey"] <= 8
+    texts = spark.createDataFrame([(f"{chr(97 + k % 26)}{k}", datetime.date(2024, 1, 1 + k % 28)) for k in range(500)] + [(None, None)], "a string, b date")
+    assert sinks.clustered_by_all(texts, ["a", "b"], 4).count() == 501
+
+
+def test_masks_stay_with_the_table(spark):
+    database = f"marts_{uuid.uuid4().hex[:12]}"
+    sinks.ensure_database(spark, database, shared_dir(spark, database))
+    table, view = f"{database}.held", f"{database}.people"
+    sinks.save_table(spark.createDataFrame([(1, "123-45-6789", 'say "hi"')], "id int, ssn string, note string"), table)
+    masking.attach_mask(spark, table, view, "ssn", masking.EMPLOYEE_SQL["ssn"])
+    masking.attach_mask(spark, table, view, "note", "concat('it''s ', \"masked\")")
+    reader = spark.newSession()  # knows the view by name only
+    assert tuple(reader.table(view).first()) == (1, "***-**-****", "it's masked")
+    assert masking.policy_of(reader, table).keys() == {"ssn", "note"}
+    masking.detach_mask(reader, table, view, "ssn")
+    assert tuple(spark.table(view).first()) == (1, "123-45-6789", "it's masked")
+    with pytest.raises(ValueError):
+        masking.attach_mask(spark, table, view, "none", "1")
