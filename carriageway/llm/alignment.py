@@ -46,7 +46,7 @@ HEAVY = 1 << 18
 #: Code points of the texts that are aligned at a time.
 STEP = 1 << 19
 #: Pre-tokens whose ids a worker keeps; all are forgotten when there are more.
-CACHE = 1 << 18
+CACHE = 1 << 19
 #: Bits of an id in a packed pair.
 ID_BITS = 20
 
@@ -77,6 +77,8 @@ class Vocabularies:
         special = {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
         self.a_bytes = [special[i] if i in special else bytes(sign[c] for c in entries.get(i, "")) for i in range(self.a.get_vocab_size())]
         self.b_bytes = [self.piece_bytes(i) for i in range(self.b.get_piece_size())]
+        # With an entry for every byte, and nothing that changes a text before, A gives every text back.
+        self.a_is_whole = set(sign) <= spec["model"]["vocab"].keys()
         self.a_size, self.b_size = np.array(list(map(len, self.a_bytes))), np.array(list(map(len, self.b_bytes)))
         # Ids as text with what follows them in a digest, by kind: A within and at the end of a group, then B.
         self.parts = [f"{i}{mark}" for mark, n in ((",", len(self.a_bytes)), ("|", len(self.a_bytes)), (",", len(self.b_bytes)), (";", len(self.b_bytes))) for i in range(n)]
@@ -105,14 +107,14 @@ class Vocabularies:
         a_of, b_of = self.a_bytes.__getitem__, self.b_bytes.__getitem__
         for k, text in enumerate(full):
             raw = text.encode()
-            if not texts[k] or b"".join(map(a_of, a[k])) != raw or b"".join(map(b_of, b[k])) != raw:
+            if not texts[k] or b"".join(map(b_of, b[k])) != raw or not self.a_is_whole and b"".join(map(a_of, a[k])) != raw:
                 a[k], b[k] = [], []
         return a, b
 
 
 def side_frame(ids: list[list[int]], sizes: np.ndarray) -> tuple[pd.DataFrame, np.ndarray]:
     """Rows (at, doc, place) of all tokens of one side, by first byte in the batch, and the tokens' ids."""
-    flat = np.concatenate([np.asarray(i, np.int64) for i in ids]) if ids else np.zeros(0, np.int64)
+    flat = np.fromiter(chain.from_iterable(ids), np.int64, sum(map(len, ids)))
     ends = np.cumsum(sizes[flat])
     return pd.DataFrame({"at": ends - sizes[flat], "doc": np.repeat(np.arange(len(ids)), [len(i) for i in ids]), "place": np.arange(len(flat))}), flat
 
