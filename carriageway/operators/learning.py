@@ -115,16 +115,6 @@ def impute_median(df: DataFrame, column: str, out: str) -> DataFrame:
     return df.withColumn(out, F.coalesce(column, median))
 
 
-def feature_stages(categories: Sequence[str], numbers: Sequence[str], numeric: str = "scale") -> list:
-    """Encoders and one ``features`` vector. ``numeric`` is ``scale`` or ``impute``."""
-    onehot = [f"{c}_1h" for c in categories]
-    if numeric == "scale":
-        middle, parts = scale_numbers(numbers), [*onehot, "numbers_scaled"]
-    else:
-        middle, parts = [impute_numbers(numbers)], [*onehot, *[f"{c}_full" for c in numbers]]
-    return [*encode_categories(categories), *middle, VectorAssembler(inputCols=parts, outputCol="features")]
-
-
 def label_encoder(column: str) -> StringIndexer:
     """L6. Class number in alphabetical order."""
     return StringIndexer(inputCol=column, outputCol="label", stringOrderType="alphabetAsc", handleInvalid="error")

@@ -100,8 +100,10 @@ def _(i):
     "SELECT 'bronze' AS layer, count(*) AS n FROM events UNION ALL SELECT 'silver', count(*) FROM stream_silver UNION ALL "
     "SELECT 'gold', count(*) FROM (SELECT DISTINCT state_code, incident_year, incident_month, incident_type FROM stream_silver)")))
 def _(i):
-    bronze = jobs.table_chain(stream(i, "incidents"), {"bronze": jobs.bronze})["bronze"]
-    files = jobs.file_stream(i.spark, bronze.inputFiles()[0].rsplit("/", 1)[0], bronze.schema)
+    path, stamped = shared_dir(i.spark, "chain-bronze"), jobs.bronze(stream(i, "incidents"))
+    jobs.start(stamped, f"{path}/out", f"{path}/checkpoint").awaitTermination()
+    bronze = i.spark.read.schema(stamped.schema).parquet(f"{path}/out")
+    files = jobs.file_stream(i.spark, f"{path}/out", stamped.schema)
     silver, gold = jobs.incident_tables(files, "t08")
     layers = {"bronze": bronze, "silver": silver, "gold": gold}
     counts = [df.agg(F.lit(name).alias("layer"), F.count(F.lit(1)).alias("n")) for name, df in layers.items()]
