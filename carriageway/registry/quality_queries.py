@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from carriageway.functions.times import AS_OF, at_midnight
-from carriageway.operators import masking, quality
+from carriageway.operators import masking, quality, snapshots
 from carriageway.operators.profiling import category_drift, numeric_drift, profile
+from carriageway.operators.settle import settled
 from carriageway.registry.check_sql import block, rnd, using
 from carriageway.registry.core import add, query, steady
 from carriageway.registry.table_queries import own_database
@@ -136,6 +137,58 @@ TV = " UNION ALL ".join(
     f"count(*) FILTER (WHERE l_shipdate >= TIMESTAMP '1998-01-01 00:00:00') AS a FROM lineitem GROUP BY 1))"
     for c in ("l_returnflag", "l_linestatus"))
 add("q13_category_drift", lambda i: steady(category_drift(*two_snapshots(i), ["l_returnflag", "l_linestatus"])), TV)
+# ---- metrics stored by day, merged to years --------------------------------
+LINE_NUMBERS, LINE_TEXTS = ["l_quantity", "l_discount", "l_tax"], ["l_returnflag"]
+
+
+def lines_by_day(i):
+    """Metrics and buckets of the order lines, stored once per ship date."""
+    lines = i.table("lineitem").select(F.to_date("l_shipdate").alias("day"), *LINE_NUMBERS, *LINE_TEXTS)
+    return (settled(snapshots.metrics(lines, ["day"], LINE_NUMBERS + LINE_TEXTS), "metrics-by-day"),
+            settled(snapshots.buckets(lines, ["day"], LINE_NUMBERS), "buckets-by-day"))
+
+
+def bucket_sql(value: str) -> str:
+    size = f"(ceil(ln(abs({value})) / ln({snapshots.GROWTH})) + {snapshots.SHIFT})"
+    return f"cast(CASE WHEN {value} = 0 THEN 0 ELSE sign({value}) * {size} END AS bigint)"
+
+
+def yearly_sql(c: str) -> str:
+    stands = f"pow({snapshots.GROWTH}, least_bucket - {snapshots.SHIFT}) * {2 / (1 + snapshots.GROWTH)!r}"
+    stands = f"CASE WHEN least_bucket = 0 THEN 0 ELSE {stands} END"
+    held = f"greatest(min_value, least(max_value, {stands}))"
+    return (
+        f"SELECT year, '{c}' AS column_name, row_count, null_count, distinct_count, {rnd('min_value', 6)} AS min_value, {rnd('max_value', 6)} AS max_value, "
+        f"{rnd('mean_value', 6)} AS mean_value, {rnd('stddev_value', 6)} AS stddev_value, {rnd(held, 6)} AS median_value FROM ("
+        f"SELECT year(l_shipdate) AS year, count(*) AS row_count, count(*) - count({c}) AS null_count, count(DISTINCT {c}) AS distinct_count, "
+        f"min({c}) AS min_value, max({c}) AS max_value, avg({c}) AS mean_value, stddev_samp({c}) AS stddev_value, "
+        f"quantile_disc({bucket_sql(c)}, 0.5) AS least_bucket FROM lineitem GROUP BY 1)")
+
+
+@query("q12_merged_profile", " UNION ALL ".join([yearly_sql(c) for c in LINE_NUMBERS] + [
+    f"SELECT year(l_shipdate), '{c}', count(*), count(*) - count({c}), count(DISTINCT {c}), NULL, NULL, NULL, NULL, NULL FROM lineitem GROUP BY 1" for c in LINE_TEXTS]))
+def _(i):
+    """Profile per year out of the metrics of its days."""
+    metrics, buckets = (df.withColumn("year", F.year("day")) for df in lines_by_day(i))
+    return steady(snapshots.stored_profile(metrics, buckets, ["year"]).drop("q1_value", "q3_value"))
+
+
+STORED_DRIFT = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, cast(max(all_b) AS bigint) AS baseline_values, cast(max(all_c) AS bigint) AS current_values, "
+    f"{rnd('max(abs(upto_b / all_b - upto_c / all_c))', 6)} AS ks_distance, {rnd('sum(abs(b / all_b - c / all_c)) / 2', 6)} AS tv_distance, count(*) AS ranges FROM ("
+    "SELECT *, sum(b) OVER () AS all_b, sum(c) OVER () AS all_c, sum(b) OVER (ORDER BY bucket) AS upto_b, sum(c) OVER (ORDER BY bucket) AS upto_c FROM ("
+    f"SELECT {bucket_sql(c)} AS bucket, count(*) FILTER (WHERE l_shipdate < TIMESTAMP '1998-01-01 00:00:00') AS b, "
+    f"count(*) FILTER (WHERE l_shipdate >= TIMESTAMP '1998-01-01 00:00:00') AS c FROM lineitem WHERE {c} IS NOT NULL AND l_shipdate IS NOT NULL GROUP BY 1))"
+    for c in LINE_NUMBERS)
+
+
+@query("q13_stored_drift", STORED_DRIFT)
+def _(i):
+    """Distances of the distributions before and from 1998 on, out of the buckets of days."""
+    cut = F.lit("1998-01-01").cast("date")
+    return steady(snapshots.stored_drift(lines_by_day(i)[1], C("day") < cut, C("day") >= cut))
+
+
 add("q14_row_counts", lambda i: i.corridors.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("high_risk_corridors").alias("table_name"), "n_rows"),
     using("gold_corridors", "SELECT 'high_risk_corridors' AS table_name, count(*) AS n_rows FROM gold_corridors"))
 
