@@ -40,7 +40,6 @@ from carriageway.operators.settle import settled
 SEQUENCE = 1024
 END_ID = 2
 GROUP_ITEMS = 8192
-ROUNDS = 6
 VOCABULARY = "byte_bpe_50k"
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -152,7 +151,7 @@ def pack_groups(rows: DataFrame, size: int, turn: int, n: int) -> DataFrame:
         loose = filled < size
         if gap == 0:
             loose &= filled == filled.min()
-        out = part.assign(sequence_id=(turn << 56) + (int(key[0]) << 14) + bins, offset=offsets, again=loose[bins], gap=gap)
+        out = part.assign(sequence_id=(turn << 44) + (int(key[0]) << 14) + bins, offset=offsets, again=loose[bins], gap=gap)
         return out[[x.split()[0] for x in PACKED.split(", ")]]
 
     dealt = rows.withColumn("group", F.pmod(F.xxhash64("row", F.lit(turn)), F.lit(groups)))
@@ -165,10 +164,9 @@ def packed(docs: DataFrame, size: int = SEQUENCE, vocabulary: str = VOCABULARY)
     out = [x.split()[0] for x in PIECES.split(", ")] + ["sequence_id", "offset"]
     whole = every.where(F.col("length") == size).withColumns({"sequence_id": -1 - F.col("row"), "offset": F.lit(0).cast("long")})
     done, pool = [whole.select(*out)], every.where(F.col("length") < size)
-    n, before = pool.count(), None
-    for turn in range(1, ROUNDS + 1):
-        if n == 0:
-            break
+    n, before, turn = pool.count(), None, 0
+    while n:  # every further turn saves a bin, or is the last
+        turn += 1
         now = settled(pack_groups(pool, size, turn, n), "packing-round")
         counts = now.agg(F.count_if("again").alias("rows"), F.countDistinct("sequence_id").alias("bins"),
                          F.countDistinct(F.when(F.col("again"), F.col("sequence_id"))).alias("loose")).collect()[0]
