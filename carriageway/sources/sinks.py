@@ -12,6 +12,7 @@ from carriageway.functions.cells import cell_boundary
 from carriageway.functions.geometry import extent, geojson_geometry, parse_wkt, polygon_wkt
 from carriageway.functions.text import has_text
 from carriageway.operators.ordered import value_slice
+from carriageway.operators.settle import settled
 
 
 def overwrite(df: DataFrame, path: str, parts: Sequence[str] = (), fmt: str = "parquet") -> None:
@@ -114,14 +115,15 @@ def clustered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.repartitionByRange(*columns).sortWithinPartitions(*columns)
 
 
-def files_of(spark: SparkSession, path: str) -> set[str]:
-    """Data files of a table; none if there is no table yet."""
+def rows_by_file(spark: SparkSession, path: str) -> DataFrame:
+    """(file, n) per data file of a table; none if there is no table yet. The scan has no column, so it counts from footers."""
     try:
-        return set(spark.read.parquet(path).inputFiles())
+        held = spark.read.parquet(path)
     except AnalysisException as error:
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        return set()
+        return spark.createDataFrame([], "file string, n long")
+    return held.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def write_logged(
@@ -129,17 +131,17 @@ def write_logged(
 ) -> DataFrame:
     """Run a write and give its history row: what was done, how many rows this write had, when.
 
-    Only the footers of the files that the write added are read for the count.
+    The rows are those of files that were not there before; both lists of files
+    are tables, joined on the executors.
     """
     spark = df.sparkSession
-    before = files_of(spark, path)
+    before = settled(rows_by_file(spark, path).select("file"), "files-before")
     write(df, path)
-    added = sorted(files_of(spark, path) - before)
-    n = spark.read.parquet(*added).count() if added else 0
-    return spark.range(1).select(
-        F.lit(operation).alias("operation"), F.lit(n).cast("long").alias("rows_written"),
+    added = rows_by_file(spark, path).join(before, "file", "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("rows_written"))
+    return settled(added.select(
+        F.lit(operation).alias("operation"), "rows_written",
         F.lit(",".join(df.columns)).alias("columns"), at.alias("logged_at"),
-    )
+    ), "history-row")
 
 
 def features(df: DataFrame, geometry: str) -> DataFrame:
