@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carriageway.functions.cells import AREA_KM2_R8, hex_cell, with_cells
@@ -18,6 +18,7 @@ from carriageway.operators.ordered import next_values, running_totals, spread_sc
 from carriageway.operators.settle import settled
 from carriageway.operators.spatial import hotspot_class, near_cells
 from carriageway.plans.gold import NIGHT
+from carriageway.sources.tables import first_available
 
 # Cell risk tiers, ring reach, zone radius factor, traffic bands.
 VOLUME_TIERS = [(20, "Elevated – high volume"), (10, "Moderate")]
@@ -201,6 +202,11 @@ def bridges_with_zone(bridges: DataFrame, zones: DataFrame, stamp: bool = True)
     return _stamped(joined.withColumn("population_at_risk_score", at_risk), stamp)
 
 
+def bridge_source(spark: SparkSession, verified: str, silver: str) -> DataFrame:
+    """Bridges for the overlay: the verified geo table where it exists, else the silver table, which lacks cell and point."""
+    return first_available(spark, [verified, silver])
+
+
 def work_zone_status(as_of: date = AS_OF) -> Column:
     now = at_midnight(as_of)
     return (

@@ -1,11 +1,11 @@
-"""Named datasets P1 to P25 and P36, P37."""
+"""Named datasets P1 to P25 and P36, P37, and the map layers made of them."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from carriageway.operators.masking import EMPLOYEE_POLICY, apply_masks
-from carriageway.plans import geo, gold, modelled, silver
+from carriageway.plans import geo, gold, maps, modelled, silver
 from carriageway.functions.geometry import parse_wkt
 from carriageway.functions.rules import rounded
 from carriageway.registry.check_sql import (
@@ -13,6 +13,8 @@ from carriageway.registry.check_sql import (
     haversine, rnd, silver_bridges, silver_incidents, using, with_cell,
 )
 from carriageway.registry.core import Inputs, add, query, steady
+from carriageway.session import shared_dir
+from carriageway.sources.sinks import overwrite
 
 INCIDENT_COLS = (
     "incident_id incident_type severity incident_datetime state_code county_code route_id *milepost *latitude *longitude "
@@ -109,10 +111,32 @@ add("p13_corridor_safety_once_per_incident",
           "count(*) FILTER (WHERE has_fatality) AS fatal_incidents FROM geo_pairs_once GROUP BY 1, 2, 3"))
 add("p14_hotspots", lambda i: steady(i.spots), using("geo_spots", "SELECT " + cols(
     CELL_COLS + " *mean_density *stddev_density *z_score is_hotspot is_cold_spot hotspot_class") + " FROM geo_spots"))
-add("p15_bridges_with_zone", lambda i: steady(i.placed_bridges), using("geo_bridges", "SELECT " + cols(
+PLACED_BRIDGES = using("geo_bridges", "SELECT " + cols(
     "bridge_id state_code bridge_type age_category worst_condition *risk_score priority_tier *sufficiency_rating "
     "avg_daily_traffic *latitude *longitude geometry_wkt h3_index_r7 taz_id zone_type taz_population taz_employment "
-    "taz_vehicle_trips *population_at_risk_score") + " FROM geo_bridges"))
+    "taz_vehicle_trips *population_at_risk_score") + " FROM geo_bridges")
+add("p15_bridges_with_zone", lambda i: steady(i.placed_bridges), PLACED_BRIDGES)
+
+
+@query("p15_bridges_from_silver", PLACED_BRIDGES)
+def _(i):
+    """The same overlay as a job: there is no verified table, so it falls back to the written silver one."""
+    folder = shared_dir(i.spark, "bridges")
+    overwrite(i.bridges, f"{folder}/silver", ["state_code"])
+    source = geo.bridge_source(i.spark, f"{folder}/verified", f"{folder}/silver")
+    return steady(geo.bridges_with_zone(source, i.fx("zones"), stamp=False))
+
+
+SPOT_SQL = "h3_index_r8 incident_count total_fatalities *avg_severity_score hotspot_class"
+add("map01_hot_cells", lambda i: steady(maps.hot_cells(i.spots)), using("geo_spots", f"SELECT {cols(SPOT_SQL + ' risk_tier')} FROM geo_spots WHERE is_hotspot"))
+add("map02_hot_cell_scores", lambda i: steady(maps.hot_cells(i.spots, maps.SPOT_SCORES)), using("geo_spots", f"SELECT {cols(SPOT_SQL + ' *z_score')} FROM geo_spots WHERE is_hotspot"))
+add("map03_fatal_markers", lambda i: steady(maps.fatal_markers(i.located)), using("geo_incidents", "SELECT " + cols(
+    "incident_id *latitude *longitude incident_type severity fatalities injuries incident_datetime") + " FROM geo_incidents WHERE has_fatality"))
+add("map04_cell_density", lambda i: steady(maps.layer(i.cells, maps.DENSITY_COLUMNS)), using("geo_cells", "SELECT " + cols(
+    "h3_index_r8 incident_count total_fatalities *avg_severity_score risk_tier") + " FROM geo_cells"))
+add("map05_sensors", lambda i: steady(maps.layer(i.fx("sensors"), maps.SENSOR_COLUMNS)), using("fx_sensors", "SELECT " + cols(
+    "sensor_id *latitude *longitude operational_status *uptime_pct") + " FROM fx_sensors"))
+add("map06_active_work_zones", lambda i: maps.active_work_zones(i.work_zones), using("wz_cells", "SELECT work_zone_id, zone_type, status FROM wz_cells WHERE status = 'Active'"))
 add("p16_work_zone_conflicts", lambda i: steady(i.conflicts), using("geo_conflicts", "SELECT " + cols(
     "work_zone_id zone_type wz_route speed_limit_in_zone wz_incident_count wz_fatalities wz_injuries *wz_avg_severity")
     + " FROM geo_conflicts"))

@@ -117,6 +117,22 @@ def test_missing_sources_are_reported(spark):
         tables.first_available(spark, ["/nowhere/a", "/nowhere/b"])
 
 
+def test_bridge_overlay_takes_the_verified_table_first(spark, i):
+    from pyspark.sql import functions as F
+
+    from carriageway.functions.cells import hex_cell
+    from carriageway.plans import geo
+
+    folder, zones = shared_dir(spark, "overlay"), i.fx("zones")
+    silver = i.bridges.limit(50)
+    sinks.overwrite(silver, f"{folder}/silver")
+    sinks.overwrite(silver.limit(20).withColumns({"h3_index_r7": hex_cell("latitude", "longitude", 7), "geometry_wkt": F.lit("POINT (0 0)")}), f"{folder}/verified")
+    made = [geo.bridges_with_zone(geo.bridge_source(spark, f"{folder}/{first}", f"{folder}/silver"), zones, stamp=False) for first in ("verified", "missing")]
+    assert [df.select("bridge_id").distinct().count() for df in made] == [20, 50]
+    assert {r[0] for r in made[0].select("geometry_wkt").collect()} == {"POINT (0 0)"}
+    assert made[1].where("geometry_wkt IS NULL OR geometry_wkt = 'POINT (0 0)'").count() == 0
+
+
 def test_geojson_skips_blank_geometry_and_keeps_properties(spark):
     df = spark.createDataFrame([(1, "POINT (1 2)"), (2, ""), (3, None), (4, "POLYGON ((0 0, 1 0, 1 1, 0 0))")], "id int, w string")
     rows = [r["value"] for r in sinks.features(df, "w").collect()]
