@@ -107,3 +107,76 @@ def test_documents_without_label_train(spark, monkeypatch):
     toxicity.trained(docs, spark.createDataFrame(labels[:300], "doc_id long, quality int, toxic int"))
     (n, target), = seen
     assert n == len(target) == sum(zlib.crc32(str(r[0]).encode()) % 5 != 0 for r in data)
+
+
+def in_two_languages(n=40000, prior=0.1, label_accuracy=0.95, seed=3):
+    """Truth, votes and labels; voters 0 to 3 know one language, 4 to 7 the other, so the two sets never vote together."""
+    rng = np.random.default_rng(seed)
+    y, second = rng.random(n) < prior, rng.random(n) < 0.5
+    votes = [(rng.random(n) < np.where(y, 0.6, 0.01)) & (second == (k >= 4)) for k in range(8)]
+    # As in the operator, a label says toxic about as often as the prior has it.
+    flip = rng.random(n) > label_accuracy
+    return y, np.stack(votes, axis=1).astype(int), np.where(flip, rng.random(n) < prior, y).astype(int)
+
+
+def counted(votes, labels):
+    """The matrices of ``agreements``, by brute force."""
+    both = np.column_stack([votes, np.ones(len(votes), int), labels])
+    parts = []
+    for cut in toxicity.halves(votes.shape[1]):
+        sides = np.column_stack([votes[:, cut == 0].any(axis=1), votes[:, cut == 1].any(axis=1), np.ones(len(votes), int), labels]).astype(int)
+        parts.append(sides.T @ sides)
+    return both.T @ both, np.array(parts)
+
+
+def test_label_joins_voters_that_never_meet():
+    prior = 0.1
+    found = []
+    for accuracy in (0.98, 0.8, 0.6):
+        y, votes, labels = in_two_languages(label_accuracy=accuracy)
+        both, parts = counted(votes, labels)
+        found.append(toxicity.label_strength(parts[:2], len(y), prior))
+        # Halves that mix the languages agree by what they know, so the label's strength is that of its making.
+        assert abs(found[-1] - min(accuracy, 2 * toxicity.LABEL_ACCURACY - 1)) < 0.08
+        model = toxicity.label_model(both[:-2, :-2], len(y), prior, toxicity.with_label(both), found[-1])
+        rows = [np.flatnonzero(v).tolist() for v in votes]
+        post = toxicity.posteriors(rows, [None] * len(rows), list(range(8)), model, prior, found[-1])
+        said = votes.sum(axis=1) >= 2
+        assert y[said].mean() > 0.95 and post[said].min() > 0.5 > post[votes.sum(axis=1) == 0].max()
+    assert found[0] > found[1] > found[2]
+
+
+def test_agreements_count_all_documents(spark):
+    rng = np.random.default_rng(5)
+    votes, labels = (rng.random((500, 5)) < 0.3).astype(int), rng.integers(0, 2, 500)
+    known = rng.random(500) < 0.6
+    rows = [([10 * int(k) for k in np.flatnonzero(v)] + [7], int(t) if k else None) for v, t, k in zip(votes, labels, known)]
+    notes = spark.createDataFrame(rows, "hits array<int>, toxic int").repartition(3)
+    both, parts, n = toxicity.agreements(notes, [0, 10, 20, 30, 40])
+    wide = np.column_stack([votes, known, known & (labels == 1)]).astype(int)
+    assert n == 500 and (both == wide.T @ wide).all()
+    for cut, part in zip(toxicity.halves(5), parts):
+        sides = np.column_stack([votes[:, cut == 0].any(axis=1), votes[:, cut == 1].any(axis=1), wide[:, 5], wide[:, 6]]).astype(int)
+        assert (part == sides.T @ sides).all()
+    assert toxicity.label_strength(np.zeros((toxicity.CUTS, 4, 4)), 0, 0.1) == 2 * toxicity.LABEL_ACCURACY - 1
+
+
+def test_patterns_are_counted_over_all_labelled_rows(spark, monkeypatch):
+    """Neither the bound of the fit nor the flushes of a task's counts change what is counted."""
+    data, labels = corpus(400)
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
+    usable = toxicity.usable_labels(spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    whole = toxicity.mined(docs, usable)
+    monkeypatch.setattr(toxicity, "TRAIN_ROWS", 50)
+    monkeypatch.setattr(toxicity, "HELD_COUNTS", 20)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    try:
+        assert toxicity.mined(docs, usable) == whole
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    texts = {d: t for d, t, *_ in data}
+    kept = {d: y for d, _, y in labels if zlib.crc32(str(d).encode()) % 5}
+    for pattern, toxic, other in whole[0][:20]:
+        has = [y for d, y in kept.items() if pattern in {p for w in toxicity.words_of_text(texts[d] or "") for p in toxicity.patterns_of(w)}]
+        assert (sum(has), len(has) - sum(has)) == (toxic, other)
+    assert (whole[1], whole[2]) == (sum(kept.values()), len(kept) - sum(kept.values()))
