@@ -45,6 +45,8 @@ ARRIVAL, REPEATS_WITHIN = "_ingest_time", "1 day"
 BATCH, BUCKET = "_batch", "_bucket"
 #: Folders of the key index of a silver table. A batch reads those of its own keys only.
 BUCKETS = 64
+#: Runs of the key index that are merged into one run of the next level.
+FAN = 16
 WINDOW = "5 minutes"
 CONGESTION_BANDS = [(15, "Severe"), (30, "Heavy"), (45, "Moderate")]
 FREE_FLOW = "Free Flow"
@@ -260,10 +262,71 @@ def written(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def known_keys(spark: SparkSession, base: str, key: str, kind: T.DataType, buckets: list[int], epoch: int) -> DataFrame:
-    """Keys that other batches wrote, from the given folders of the index."""
-    schema = T.StructType([T.StructField(key, kind), T.StructField(BUCKET, T.IntegerType()), T.StructField(BATCH, T.LongType())])
-    return written(spark, f"{base}/keys", schema).where(F.col(BUCKET).isin(buckets) & (F.col(BATCH) != epoch))
+def live_runs(epoch: int) -> list[tuple[int, int]]:
+    """(level, run) of the key index that together hold each batch before ``epoch`` once.
+
+    A run of level 0 is a batch; ``FAN`` full runs make one of the next level, so
+    there are fewer than ``FAN`` live ones per level and the levels grow with the
+    logarithm of the batches.
+    """
+    live, level = [], 0
+    while epoch // FAN**level > 0:
+        upto = epoch // FAN**level
+        live += [(level, run) for run in range(upto - upto % FAN, upto)]
+        level += 1
+    return live
+
+
+def runs_filled(epoch: int) -> list[tuple[int, int]]:
+    """Runs above level 0 that the batch before ``epoch`` completes, lowest level first."""
+    filled, level = [], 1
+    while epoch > 0 and epoch % FAN**level == 0:
+        filled.append((level, epoch // FAN**level - 1))
+        level += 1
+    return filled
+
+
+def parts_of(level: int, run: int) -> list[tuple[int, int]]:
+    return [(level - 1, FAN * run + k) for k in range(FAN)]
+
+
+class KeyIndex:
+    """Keys of a silver table, in runs of batches and in folders by hash within a run.
+
+    Which runs are live follows from the batch number alone, so a batch that is
+    replayed finds what it found before. The runs that a merge has read are
+    emptied one batch later, when the batch that merged them can no longer be
+    replayed. Each key is written once per level.
+    """
+
+    def __init__(self, spark: SparkSession, base: str, key: str, kind: T.DataType) -> None:
+        self.spark, self.base = spark, base
+        self.schema = T.StructType([T.StructField(key, kind), T.StructField(BUCKET, T.IntegerType())])
+
+    def path(self, level: int, run: int) -> str:
+        return f"{self.base}/keys/level={level}/run={run}"
+
+    def read(self, runs: list[tuple[int, int]]) -> DataFrame:
+        if not runs:
+            return self.spark.createDataFrame([], self.schema)
+        found = self.spark.read.schema(self.schema).option("basePath", f"{self.base}/keys").parquet(*[self.path(*run) for run in runs])
+        return found.select(self.schema.names)
+
+    def write(self, keys: DataFrame, level: int, run: int) -> None:
+        """Replace a run. A folder of many keys is written by several tasks."""
+        keys.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(self.path(level, run))
+
+    def settle(self, epoch: int) -> None:
+        """Merge the runs that are full before this batch, and empty those that the last merge has read."""
+        for run in runs_filled(epoch):
+            self.write(self.read(parts_of(*run)), *run)
+        for run in runs_filled(epoch - 1):
+            for part in parts_of(*run):
+                self.write(self.spark.createDataFrame([], self.schema), *part)
+
+    def known(self, buckets: list[int], epoch: int) -> DataFrame:
+        """Keys that earlier batches wrote, from the given folders."""
+        return self.read(live_runs(epoch)).where(F.col(BUCKET).isin(buckets))
 
 
 def silver_batch(
@@ -282,14 +345,15 @@ def silver_batch(
         buckets = found.first()[BUCKET]
         found.unpersist()
         fresh = one_row_per_key(enrich(keep_expected(batch, must)), [key])
-        known = known_keys(spark, base, key, batch.schema[key].dataType, buckets, epoch).select(F.col(key).alias("_known"))
+        index = KeyIndex(spark, base, key, batch.schema[key].dataType)
+        index.settle(epoch)
+        known = index.known(buckets, epoch).select(F.col(key).alias("_known"))
         fresh = fresh.join(known, F.col(key) == F.col("_known"), "left_anti")
         fresh.write.mode("overwrite").parquet(f"{base}/out/{BATCH}={epoch}")
     finally:
         batch.unpersist()
     rows = spark.read.schema(fresh.schema).parquet(f"{base}/out/{BATCH}={epoch}")
-    keys = rows.select(key, bucket.alias(BUCKET), F.lit(epoch).cast("long").alias(BATCH))
-    overwrite_folders(keys.repartition(BUCKET), f"{base}/keys", [BUCKET, BATCH])
+    index.write(rows.select(key, bucket.alias(BUCKET)), 0, epoch)
     return rows
 
 
@@ -303,8 +367,8 @@ def drain_silver(
     Returns the table and the totals: per ``must`` rule the rows it dropped, per
     ``should`` rule the kept rows that break it. Each batch keeps one row per
     key and leaves out keys that other batches have written. Those are found in
-    an index of keys alone, in folders by hash: a batch opens only the folders
-    of its own keys, and no state grows in the stream. A replayed batch
+    an index of keys alone (``KeyIndex``), in folders by hash: a batch opens only
+    the folders of its own keys, and no state grows in the stream. A replayed batch
     overwrites itself. ``base`` is given to go on with an earlier run;
     ``after`` gets the rows each batch has written, such as ``rollup_merger``.
     """

@@ -124,7 +124,7 @@ def test_a_batch_opens_only_the_key_folders_of_its_own_keys(spark):
     base = shared_dir(spark, "index")
     df = spark.createDataFrame([(f"k{i}", i) for i in range(500)], "key string, v int")
     jobs.silver_batch(df, 0, base, "key", {"has_key": "key IS NOT NULL"}, {}, lambda d: d)
-    folders = sorted(local(base).glob(f"keys/{jobs.BUCKET}=*"))
+    folders = sorted(local(base).glob(f"keys/**/{jobs.BUCKET}=*"))
     assert len(folders) == jobs.BUCKETS
     again = spark.createDataFrame([("k7", 1), ("new", 2)], df.schema)
     own = {r[0] for r in again.select(F.pmod(F.xxhash64("key"), F.lit(jobs.BUCKETS)).cast("int")).collect()}
@@ -138,6 +138,40 @@ def test_a_batch_opens_only_the_key_folders_of_its_own_keys(spark):
     assert [r["key"] for r in jobs.silver_batch(again, 1, base, "key", {"has_key": "key IS NOT NULL"}, {}, lambda d: d).collect()] == ["new"]
 
 
+def test_runs_of_the_key_index_hold_each_batch_once(monkeypatch):
+    for fan in (2, 3, 16):
+        monkeypatch.setattr(jobs, "FAN", fan)
+        for epoch in range(300):
+            held = [b for level, run in jobs.live_runs(epoch) for b in range(run * fan**level, (run + 1) * fan**level)]
+            assert sorted(held) == list(range(epoch))
+            # What is emptied at a batch is neither read by it, nor merged by it, nor needed if it is replayed.
+            emptied = {part for run in jobs.runs_filled(epoch - 1) for part in jobs.parts_of(*run)}
+            merged = [part for run in jobs.runs_filled(epoch) for part in jobs.parts_of(*run)]
+            assert emptied.isdisjoint(jobs.live_runs(epoch)) and emptied.isdisjoint(merged)
+
+
+def test_key_index_merges_its_runs_and_empties_what_it_merged(spark, monkeypatch):
+    monkeypatch.setattr(jobs, "FAN", 3)
+    base, rule = shared_dir(spark, "runs"), {"has_key": "key IS NOT NULL"}
+
+    def batch(epoch):
+        # Two keys of its own, and one of every earlier batch.
+        own = [(f"k{epoch}", epoch), (f"l{epoch}", epoch)] + [(f"k{e}", epoch) for e in range(epoch)] + [(None, 0)]
+        rows = jobs.silver_batch(spark.createDataFrame(own, "key string, v int"), epoch, base, "key", rule, {}, lambda d: d)
+        return sorted(r["key"] for r in rows.collect())
+
+    def files():
+        return {(f.parts[-4], f.parts[-3]) for f in local(base).glob("keys/*/*/*/*.parquet")}
+
+    for epoch in range(11):
+        for _ in range(2 if epoch in (3, 4, 9) else 1):  # a replay, of batches that merge or empty runs too
+            assert batch(epoch) == [f"k{epoch}", f"l{epoch}"]
+    # Nine batches in one run of level 2; of the runs below only the last two batches are left.
+    assert files() == {("level=2", "run=0"), ("level=0", "run=9"), ("level=0", "run=10")}
+    keys = jobs.KeyIndex(spark, base, "key", spark.createDataFrame([], "key string").schema["key"].dataType)
+    assert sorted(r["key"] for r in keys.read(jobs.live_runs(11)).collect()) == sorted(f"{c}{e}" for e in range(11) for c in "kl")
+
+
 CRASH = "incident_id string, incident_datetime timestamp, longitude double, latitude double, severity string, incident_type string, state_code string, fatalities int, injuries int, vehicles_involved int"
 
 
