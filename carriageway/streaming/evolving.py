@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carriageway.session import shared_dir
-from carriageway.streaming.jobs import BATCH, run_batches, written
+from carriageway.streaming.jobs import BATCH, limited, run_batches, written
 
 RESCUED = "_rescued"
 ORIGIN = "_source_file"
@@ -22,9 +22,7 @@ QUARANTINE = T.StructType([T.StructField("value", T.StringType()), T.StructField
 
 def text_lines(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """Lines of the files of a folder as a stream, with their file."""
-    reader = spark.readStream.format("text")
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    reader = limited(spark.readStream.format("text"), files_per_batch)
     return reader.load(path).select("value", F.col("_metadata.file_path").alias(ORIGIN))
 
 

@@ -13,7 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 
 from carriageway.functions.rules import banded, tally
 from carriageway.functions.times import AS_OF, age_in, days_since, instant, is_weekend
@@ -47,21 +47,30 @@ BATCH, BUCKET = "_batch", "_bucket"
 BUCKETS = 64
 #: Runs of the key index that are merged into one run of the next level.
 FAN = 16
+#: What a micro-batch takes of a backlog at most, unless a number of files is given.
+BYTES_PER_BATCH = 256 << 30
 WINDOW = "5 minutes"
 CONGESTION_BANDS = [(15, "Severe"), (30, "Heavy"), (45, "Moderate")]
 FREE_FLOW = "Free Flow"
 SLOW_SPEED, FULL_OCCUPANCY = 10, 95
 
 
+def limited(reader: DataStreamReader, files_per_batch: int | None) -> DataStreamReader:
+    if files_per_batch:
+        return reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.option("maxBytesPerTrigger", BYTES_PER_BATCH)
+
+
 def file_stream(
     spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", files_per_batch: int | None = None,
     with_origin: bool = False,
 ) -> DataFrame:
-    """Files of a folder as an incremental stream, optionally with their path."""
-    reader = spark.readStream.format(fmt).schema(schema)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    df = reader.load(path)
+    """Files of a folder as an incremental stream, optionally with their path.
+
+    A backlog is taken in batches of so many files or of ``BYTES_PER_BATCH``, so
+    that a first run over old files can be stopped and go on.
+    """
+    df = limited(spark.readStream.format(fmt).schema(schema), files_per_batch).load(path)
     return df.select("*", F.col("_metadata.file_path").alias("_source_file")) if with_origin else df
 
 

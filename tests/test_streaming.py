@@ -58,6 +58,18 @@ def test_repeats_in_later_batches_are_dropped_and_restart_adds_nothing(spark):
     assert run() == ["a", "b", "c", "d"]
 
 
+def test_a_backlog_is_taken_in_batches_by_bytes(spark, monkeypatch):
+    schema = "id int"
+    path = files(spark, [[(1,), (2,)], [(3,)], [(4,)]], schema)
+    made, sizes = spark.createDataFrame([], schema).schema, []
+    for limit, batches in ((jobs.BYTES_PER_BATCH, [4]), (1, [2, 1, 1])):
+        monkeypatch.setattr(jobs, "BYTES_PER_BATCH", limit)
+        sizes.clear()
+        stream = jobs.file_stream(spark, path, made, "json")
+        jobs.run_batches(stream, lambda batch, epoch: sizes.append(batch.count()), shared_dir(spark, "backlog"))
+        assert [n for n in sizes if n] == batches
+
+
 def test_warn_rules_keep_rows_and_count(spark):
     schema = "severity string, latitude double"
     path = files(spark, [[("Fatal", 35.0), ("Odd", 95.0)], [(None, 35.0)]], schema)
