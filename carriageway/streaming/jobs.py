@@ -299,40 +299,47 @@ def parts_of(level: int, run: int) -> list[tuple[int, int]]:
     return [(level - 1, FAN * run + k) for k in range(FAN)]
 
 
-class KeyIndex:
-    """Keys of a silver table, in runs of batches and in folders by hash within a run.
+class Runs:
+    """A table that grows by a run per batch, in folders within a run.
 
     Which runs are live follows from the batch number alone, so a batch that is
     replayed finds what it found before. The runs that a merge has read are
     emptied one batch later, when the batch that merged them can no longer be
-    replayed. Each key is written once per level.
+    replayed. Each row is written once per level.
     """
 
-    def __init__(self, spark: SparkSession, base: str, key: str, kind: T.DataType) -> None:
-        self.spark, self.base = spark, base
-        self.schema = T.StructType([T.StructField(key, kind), T.StructField(BUCKET, T.IntegerType())])
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, folders: list[str]) -> None:
+        self.spark, self.root, self.schema, self.folders = spark, root, schema, folders
 
     def path(self, level: int, run: int) -> str:
-        return f"{self.base}/keys/level={level}/run={run}"
+        return f"{self.root}/level={level}/run={run}"
 
     def read(self, runs: list[tuple[int, int]]) -> DataFrame:
         if not runs:
             return self.spark.createDataFrame([], self.schema)
-        found = self.spark.read.schema(self.schema).option("basePath", f"{self.base}/keys").parquet(*[self.path(*run) for run in runs])
+        found = self.spark.read.schema(self.schema).option("basePath", self.root).parquet(*[self.path(*run) for run in runs])
         return found.select(self.schema.names)
 
-    def write(self, keys: DataFrame, level: int, run: int) -> None:
-        """Replace a run. A folder of many keys is written by several tasks."""
-        keys.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(self.path(level, run))
+    def write(self, rows: DataFrame, level: int, run: int) -> None:
+        """Replace a run. A folder of many rows is written by several tasks."""
+        rows.hint("rebalance", *self.folders).write.mode("overwrite").partitionBy(*self.folders).parquet(self.path(level, run))
 
-    def settle(self, epoch: int) -> None:
+    def settle(self, epoch: int, fold: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> None:
         """Merge the runs that are full before this batch, and empty those that the last merge has read."""
         for run in runs_filled(epoch):
-            self.write(self.read(parts_of(*run)), *run)
+            self.write(fold(self.read(parts_of(*run))), *run)
         for run in runs_filled(epoch - 1):
             for part in parts_of(*run):
                 self.write(self.spark.createDataFrame([], self.schema), *part)
 
+
+class KeyIndex(Runs):
+    """Keys of a silver table, in folders by hash."""
+
+    def __init__(self, spark: SparkSession, base: str, key: str, kind: T.DataType) -> None:
+        schema = T.StructType([T.StructField(key, kind), T.StructField(BUCKET, T.IntegerType())])
+        super().__init__(spark, f"{base}/keys", schema, [BUCKET])
+
     def known(self, buckets: list[int], epoch: int) -> DataFrame:
         """Keys that earlier batches wrote, from the given folders."""
         return self.read(live_runs(epoch)).where(F.col(BUCKET).isin(buckets))
@@ -417,28 +424,34 @@ def rollup_parts(silver: DataFrame) -> DataFrame:
     }).select([F.col(f.name).cast(f.dataType) for f in ROLLUP_TYPES.fields])
 
 
+def summed(parts: DataFrame) -> DataFrame:
+    """Partial sums of the rollup, added up."""
+    return parts.groupBy(*ROLLUP_KEYS).agg(*[F.sum(c).alias(c) for c in ROLLUP_SUMS]).select(ROLLUP_TYPES.names)
+
+
 def rollup_merger(base: str) -> Callable[[DataFrame, int], None]:
     """P20, kept up to date batch by batch; for ``drain_silver``'s ``after``.
 
     A batch stores its partial sums under its number and merges those of the
     months it touches, so other months are neither read nor written, raw rows
-    are read once, and a batch that is replayed replaces its own sums.
+    are read once, and a batch that is replayed replaces its own sums. Partial
+    sums lie in ``Runs``: those of many batches are added up to one row per key,
+    so a month that every batch touches stays a few files.
     """
 
     def merge(rows: DataFrame, epoch: int) -> None:
         spark = rows.sparkSession
-        parts = T.StructType([*ROLLUP_TYPES.fields, T.StructField(BATCH, T.LongType())])
-        fresh = rollup_parts(rows).withColumn(BATCH, F.lit(epoch).cast("long"))
-        overwrite_folders(fresh.repartition(*ROLLUP_FOLDERS), f"{base}/parts", [*ROLLUP_FOLDERS, BATCH])
-        own = written(spark, f"{base}/parts", parts).where(F.col(BATCH) == epoch)
+        parts = Runs(spark, f"{base}/parts", ROLLUP_TYPES, ROLLUP_FOLDERS)
+        parts.settle(epoch, summed)
+        parts.write(rollup_parts(rows), 0, epoch)
+        own = parts.read([(0, epoch)])
         months = [(r[0], r[1]) for r in own.select(*ROLLUP_FOLDERS).distinct().collect()]  # a row per month of the batch
         if not months:
             return
         touched = F.lit(False)
         for year, month in months:
             touched = touched | (F.col("incident_year").eqNullSafe(F.lit(year)) & F.col("incident_month").eqNullSafe(F.lit(month)))
-        every = written(spark, f"{base}/parts", parts).where(touched)
-        merged = every.groupBy(*ROLLUP_KEYS).agg(*[F.sum(c).alias(c) for c in ROLLUP_SUMS])
+        merged = summed(parts.read([*live_runs(epoch), (0, epoch)]).where(touched))
         overwrite_folders(merged.repartition(*ROLLUP_FOLDERS), f"{base}/mart", ROLLUP_FOLDERS)
 
     return merge

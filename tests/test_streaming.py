@@ -220,6 +220,20 @@ def test_gold_is_merged_batch_by_batch(spark):
     agree(silver, gold)
 
 
+def test_a_month_that_every_batch_touches_stays_a_few_files(spark, monkeypatch):
+    monkeypatch.setattr(jobs, "FAN", 2)
+    base = shared_dir(spark, "months")
+    merge, schema = jobs.rollup_merger(base), spark.createDataFrame([], CRASH).schema
+    batches = [[crash(f"a{n}", 1, n), crash(f"b{n}", 2 + n % 3, vehicles=None)] for n in range(6)]
+    for epoch, rows in enumerate(batches):
+        for _ in range(1 + epoch % 2):  # every second batch is replayed
+            merge(jobs.enriched_incidents(spark.createDataFrame(rows, schema)), epoch)
+    every = jobs.enriched_incidents(spark.createDataFrame(sum(batches, []), schema))
+    assert sorted(map(tuple, jobs.merged_rollup(spark, base).collect())) == sorted(map(tuple, jobs.monthly_rollup(every).collect()))
+    live = {(f.parts[-5], f.parts[-4]) for f in local(base).glob("parts/*/*/*/*/*.parquet") if "incident_month=1" in f.parts}
+    assert live == {("level=2", "run=0"), ("level=0", "run=4"), ("level=0", "run=5")}
+
+
 def test_a_timed_query_goes_on_where_it_was_stopped(spark):
     schema = "id int"
     path = files(spark, [[(1,), (2,)], [(3,)], [(4,)]], schema)
