@@ -118,6 +118,21 @@ def test_time_range_join_keeps_both_ends(spark, salts):
     assert sorted((r["id"], r["zone"]) for r in got.collect()) == [(1, "z"), (2, "z")]
 
 
+def test_time_range_join_is_a_short_loop(spark):
+    """Times of unlike types are converted once a row, not once a pair, and the pairs are not made inside the function that makes the cells."""
+    points = spark.sql("SELECT id, 35.0 + id / 9000 AS latitude, -80.0D AS longitude, TIMESTAMP_NTZ '2023-01-01 00:00:00' + INTERVAL '1' DAY * cast(id AS int) AS t FROM range(40)")
+    points = points.withColumn("cell", cells.hex_cell("latitude", "longitude", 8))
+    zones = spark.sql("SELECT concat('z', id) AS zone, TIMESTAMP '2023-01-11 00:00:00' + INTERVAL '1' DAY * cast(id AS int) AS a, TIMESTAMP '2023-01-21 00:00:00' AS b, 35.0 + id / 1e6 AS lat FROM range(3)")
+    zones = zones.select("zone", "a", "b", cells.hex_cell("lat", F.lit(-80.0), 8).alias("zc"))
+    got = same_cell_during(points, zones, "cell", "zc", "t", "a", "b", [F.col("id")], 3)
+    here = points.first()["cell"]
+    want = sorted((p["id"], f"z{k}") for p in points.collect() for k in range(3) if p["cell"] == here and 10 + k <= p["id"] <= 20)
+    assert sorted((r["id"], r["zone"]) for r in got.collect()) == want and want
+    assert got.columns == ["id", "latitude", "longitude", "t", "cell", "zone", "a", "b", "zc"]
+    joins = [line for line in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line]
+    assert joins and all("SortMergeJoin" in line and ">=" in line and "cast(" not in line for line in joins)
+
+
 def test_wkt_round_trip_and_blank(spark):
     df = spark.createDataFrame([("LINESTRING (0 0, 3 4, 3 5)",), ("POINT (1.5 -2)",), ("",), (None,)], "w string")
     rows = df.select(geometry.parse_wkt("w").alias("p"), geometry.line_degrees(geometry.parse_wkt("w")).alias("d")).collect()
