@@ -37,9 +37,15 @@ def ensure_database(spark: SparkSession, name: str, location: str | None = None)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{where}")
 
 
-def save_table(df: DataFrame, name: str, parts: Sequence[str] = (), fmt: str = "parquet") -> None:
-    """Save as a catalog table, replacing it; rows come together by partition as in ``overwrite``."""
-    writer = (df.hint("rebalance", *parts) if parts else df).write.format(fmt).mode("overwrite")
+def save_table(df: DataFrame, name: str, parts: Sequence[str] = (), fmt: str = "parquet", gather: bool = True, codec: str | None = None) -> None:
+    """Save as a catalog table, replacing it; rows come together by partition as in ``overwrite``.
+
+    Without ``gather`` each task writes its own rows, one file per partition it
+    holds: for rows that already lie together, or large scans with few partitions.
+    """
+    writer = (df.hint("rebalance", *parts) if parts and gather else df).write.format(fmt).mode("overwrite")
+    if codec:
+        writer = writer.option("compression", codec)
     if parts:
         writer = writer.partitionBy(*parts)
     writer.saveAsTable(name)

@@ -9,7 +9,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from carriageway.operators import ordered
-from carriageway.operators.keys import one_row_per_key, top_rows_per_key
+from carriageway.operators import keys
+from carriageway.operators.keys import one_row_per_key, one_row_per_stored_key, top_rows_per_key
 
 
 @pytest.fixture(scope="module")
@@ -97,6 +98,19 @@ def test_the_kept_row_does_not_change_with_the_partitions(spark):
     assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
 
 
+@pytest.mark.parametrize("few", [0, 1, 500_000])
+def test_stored_rows_are_made_unique_with_little_shuffled(spark, monkeypatch, few):
+    """Whole rows move only where keys repeat; the rows kept are the same, whichever way is taken."""
+    monkeypatch.setattr(keys, "FEW_KEYS", few)
+    rows = [(f"k{i}", i, "x") for i in range(200)] + [("k3", 900, "y"), ("k3", 901, "y"), (None, 1, "n"), (None, 2, "n"), ("k7", 7, "x")]
+    df = spark.createDataFrame(rows, "k string, v int, t string").repartition(5)
+    got, dealt = one_row_per_stored_key(df, ["k"])
+    assert dealt == (few < 3) and got.columns == df.columns
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, one_row_per_key(df, ["k"]).collect())) and got.count() == 201
+    plain, dealt = one_row_per_stored_key(spark.range(50), ["id"])
+    assert not dealt and "Exchange" not in plain._jdf.queryExecution().executedPlan().toString() and plain.count() == 50
+
+
 @pytest.mark.parametrize("first", [0, 1_700_000_000])
 def test_slices_follow_the_values_wherever_they_lie(spark, first):
     """A hundred thousand distinct seconds are spread over all slices, from zero on and from an epoch on."""
