@@ -102,6 +102,25 @@ def test_fitting_rows_are_bounded_and_stable(spark):
     assert 850 < len(some) < 1150 and some == {r[0] for r in learning.fit_rows(df.repartition(7), "key", most=1000).collect()}
 
 
+def test_wear_forest_is_fitted_on_all_rows(spark, monkeypatch):
+    """More rows than other models are fitted on, and all of them reach the forest."""
+    from carriageway.registry import QUERIES, model_queries
+
+    seen = []
+
+    class Counted:
+        def fit(self, rows):
+            seen.append(rows.select("segment_id").distinct().count())
+            return learning.Pipeline(stages=[*learning.tree_stages(["kind"], ["x"]), learning.RandomForestClassifier(numTrees=2, maxDepth=2)]).fit(rows)
+
+    n = learning.FIT_ROWS + 20_000
+    train = spark.range(n).selectExpr("concat('s', id) AS segment_id", "if(id % 3 = 0, 'a', 'b') AS kind", "id % 7 / 1.0D AS x", "cast(id % 2 AS double) AS label")
+    monkeypatch.setattr(model_queries, "wear_split", lambda i: (train, train.limit(5)))
+    monkeypatch.setattr(learning, "wear_forest", Counted)
+    assert QUERIES["l12_wear_forest"](spark, "unused").count() == 5
+    assert seen == [n]
+
+
 def test_published_sizes_are_the_defaults():
     assert (learning.severity_model().getStages()[-1].rounds, learning.severity_model().getStages()[-1].depth) == (150, 8)
     sizes = [(m.getStages()[-1].getMaxIter(), m.getStages()[-1].getMaxDepth()) for m in (learning.risk_model(), learning.wear_boosted())]
