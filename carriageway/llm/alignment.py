@@ -1,10 +1,13 @@
 """Tokens of two vocabularies aligned by the bytes they cover, and corpus counts of aligned id pairs.
 
-Each text is encoded by both vocabularies once. Within a batch, every token is a
-row (document, first byte, place); ``pandas.merge_asof`` keyed by document finds
-for each token start the other side's token that covers it, in both directions,
-and the union of the two gives all overlapping pairs. Bytes where tokens of both
-sides end cut them into groups.
+No token of either vocabulary covers a space in its middle, but for runs of spaces,
+so a text is cut into chunks at spaces, and each side's tokens of a chunk are the
+same in any text. A chunk that a worker has not met is encoded by both vocabularies.
+Every token of such chunks is a row (chunk, first byte, place); ``pandas.merge_asof``
+keyed by chunk finds for each token start the other side's token that covers it, in
+both directions, and the union of the two gives all overlapping pairs. Bytes where
+tokens of both sides end cut them into groups. A text has the counts, groups and
+pairs of its chunks, one after another.
 
 What leaves a batch is a row per document with its digests and its distinct id
 pairs. Counts of pairs are sums with partial aggregation. Documents meet the
@@ -23,7 +26,9 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from collections.abc import Iterator
+from functools import cache
 from itertools import chain
 from pathlib import Path
 
@@ -36,6 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carriageway.llm.common import whole_text
+from carriageway.llm.packing import Ids
 from carriageway.llm.token_counts import PreTokens
 from carriageway.operators.settle import settled
 
@@ -45,11 +51,15 @@ B_VOCABULARY = "piece_bpe_32k"
 HEAVY = 1 << 18
 #: Code points of the texts that are aligned at a time.
 STEP = 1 << 19
-#: Pre-tokens whose ids a worker keeps; all are forgotten when there are more.
+#: Chunks, and code points in them, that a worker keeps; all are forgotten when there are more.
 CACHE = 1 << 19
+CACHE_SIZE = 1 << 23
 #: Bits of an id in a packed pair.
 ID_BITS = 20
 
+#: Begins at a space that follows a character which is no white space, unless the text ends with this space.
+CHUNK = re.compile(r"(?s:.)[^ ]*(?:(?:(?<=\s) | \Z)[^ ]*)*")
+
 DIGESTS = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
 ALIGNED = f"{DIGESTS}, a array<int>, b array<int>, times array<int>"
 
@@ -62,14 +72,13 @@ def byte_of_sign() -> dict[str, int]:
 
 
 class Vocabularies:
-    """Ids of texts in both vocabularies, and the bytes of every id."""
+    """Ids of chunks in both vocabularies, and the bytes of every id."""
 
     def __init__(self, a: str, b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        self.pre = PreTokens(a)
+        self.pre, self.fast = PreTokens(a), Ids(a).fast
         self.a = self.pre.tokenizer
         self.a.encode_special_tokens = True  # their strings are plain text
-        self.ids_of: dict[str, list[int]] = {}
         self.b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(f"{b}.model"))
         sign = byte_of_sign()
         spec = json.loads(Path(public_tokenizers.path(f"{a}.json")).read_text())
@@ -79,6 +88,8 @@ class Vocabularies:
         self.b_bytes = [self.piece_bytes(i) for i in range(self.b.get_piece_size())]
         # With an entry for every byte, and nothing that changes a text before, A gives every text back.
         self.a_is_whole = set(sign) <= spec["model"]["vocab"].keys()
+        # A's pre-tokens hold a space at their start only, or are white space; B's pieces have to, as well.
+        self.has_chunks = not any(b" " in p[1:] and p.strip(b" ") for p in self.b_bytes)
         self.a_size, self.b_size = np.array(list(map(len, self.a_bytes))), np.array(list(map(len, self.b_bytes)))
         # Ids as text with what follows them in a digest, by kind: A within and at the end of a group, then B.
         self.parts = [f"{i}{mark}" for mark, n in ((",", len(self.a_bytes)), ("|", len(self.a_bytes)), (",", len(self.b_bytes)), (";", len(self.b_bytes))) for i in range(n)]
@@ -89,46 +100,43 @@ class Vocabularies:
             return bytes([int(piece[3:5], 16)])
         return piece.replace("▁", " ").encode()
 
-    def a_ids(self, texts: list[str]) -> list[list[int]]:
-        """A's ids of whole texts. A pre-token is encoded by itself, so its ids are kept for the texts to come."""
-        if len(self.ids_of) > CACHE:
-            self.ids_of.clear()
-        odd = [self.pre.is_odd(t) for t in texts]
-        pieces = [[] if o else list(chain.from_iterable(self.pre.lists(t))) for t, o in zip(texts, odd)]
-        new = list(set().union(*pieces).difference(self.ids_of))
-        self.ids_of.update(zip(new, (e.ids for e in self.a.encode_batch_fast(new, add_special_tokens=False))))
-        ids = self.ids_of.__getitem__
-        return [self.a.encode(t, add_special_tokens=False).ids if o else list(chain.from_iterable(map(ids, p))) for t, p, o in zip(texts, pieces, odd)]
-
-    def encoded(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both sides; none for texts that either side does not give back."""
-        full = [" " + t for t in texts]
-        a, b = self.a_ids(full), self.b.encode(texts, num_threads=1)
+    def chunks(self, text: str) -> list[str]:
+        """The chunks of a space and a text; none of an empty text."""
+        if not text:
+            return []
+        return CHUNK.findall(" " + text) if self.has_chunks else [" " + text]
+
+    def encoded(self, chunks: list[str]) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
+        """Ids of both sides, and whether both give the chunk back; there are none where either does not."""
+        # Texts with code points that have no character: the libraries may take them for other kinds.
+        a = [self.a.encode(c, add_special_tokens=False).ids if self.pre.is_odd(c) else self.fast.encode_ordinary(c) for c in chunks]
+        b = self.b.encode([c[1:] for c in chunks], num_threads=1)  # it adds the space
         a_of, b_of = self.a_bytes.__getitem__, self.b_bytes.__getitem__
-        for k, text in enumerate(full):
-            raw = text.encode()
-            if not texts[k] or b"".join(map(b_of, b[k])) != raw or not self.a_is_whole and b"".join(map(a_of, a[k])) != raw:
-                a[k], b[k] = [], []
-        return a, b
+        whole = np.ones(len(chunks), bool)
+        for k, chunk in enumerate(chunks):
+            raw = chunk.encode()
+            if b"".join(map(b_of, b[k])) != raw or not self.a_is_whole and b"".join(map(a_of, a[k])) != raw:
+                a[k], b[k], whole[k] = [], [], False
+        return a, b, whole
 
 
 def side_frame(ids: list[list[int]], sizes: np.ndarray) -> tuple[pd.DataFrame, np.ndarray]:
-    """Rows (at, doc, place) of all tokens of one side, by first byte in the batch, and the tokens' ids."""
+    """Rows (at, chunk, place) of all tokens of one side, by first byte in all chunks, and the tokens' ids."""
     flat = np.fromiter(chain.from_iterable(ids), np.int64, sum(map(len, ids)))
     ends = np.cumsum(sizes[flat])
-    return pd.DataFrame({"at": ends - sizes[flat], "doc": np.repeat(np.arange(len(ids)), [len(i) for i in ids]), "place": np.arange(len(flat))}), flat
+    return pd.DataFrame({"at": ends - sizes[flat], "chunk": np.repeat(np.arange(len(ids)), [len(i) for i in ids]), "place": np.arange(len(flat))}), flat
 
 
 def covering(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     """For each token of ``left`` the token of ``right`` that covers its first byte, and whether both start there."""
-    found = pd.merge_asof(left, right.assign(first=right["at"]), on="at", by="doc", suffixes=("", "_other"))
+    found = pd.merge_asof(left, right.assign(first=right["at"]), on="at", by="chunk", suffixes=("", "_other"))
     return found.assign(both=found["first"] == found["at"])
 
 
-def aligned_batch(ids: pa.Array, texts: list[str], both: Vocabularies) -> pa.RecordBatch:
-    """The row of each text of a batch."""
-    n = len(texts)
-    a_ids, b_ids = both.encoded(texts)
+def aligned_chunks(chunks: list[str], both: Vocabularies) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """Per chunk its counts (tokens of A and B, groups, links) with whether it is whole, and its part of a digest text; the id pairs of all chunks' links, by chunk."""
+    n = len(chunks)
+    a_ids, b_ids, whole = both.encoded(chunks)
     left, a = side_frame(a_ids, both.a_size)
     right, b = side_frame(b_ids, both.b_size)
     of_a, of_b = covering(left, right), covering(right, left)
@@ -136,8 +144,8 @@ def aligned_batch(ids: pa.Array, texts: list[str], both: Vocabularies) -> pa.Rec
     own = of_b[~of_b["both"]]
     place_a = np.concatenate([of_a["place"].to_numpy(), own["place_other"].to_numpy()])
     place_b = np.concatenate([of_a["place_other"].to_numpy(), own["place"].to_numpy()])
-    a_doc, b_doc = left["doc"].to_numpy(), right["doc"].to_numpy()
-    # A group ends where the next common start or the text's end is.
+    a_chunk, b_chunk = left["chunk"].to_numpy(), right["chunk"].to_numpy()
+    # A group ends where the next common start or the chunk's end is.
     a_first, b_first = of_a["both"].to_numpy(), of_b["both"].to_numpy()
     a_group, b_group = np.cumsum(a_first) - 1, np.cumsum(b_first) - 1
     a_last, b_last = np.append(a_first[1:], a_first[:1]), np.append(b_first[1:], b_first[:1])
@@ -147,18 +155,68 @@ def aligned_batch(ids: pa.Array, texts: list[str], both: Vocabularies) -> pa.Rec
     order = np.empty(len(a) + len(b), np.int64)
     order[np.arange(len(a)) + np.flatnonzero(b_first)[a_group]] = a_kind
     order[np.arange(len(b)) + np.append(np.flatnonzero(a_first)[1:], len(a))[b_group]] = b_kind
-    n_a, n_b = np.bincount(a_doc, minlength=n), np.bincount(b_doc, minlength=n)
-    stops = np.cumsum(n_a + n_b)
-    part = both.parts.__getitem__
-    shas = [hashlib.sha256("".join(map(part, order[stop - k:stop].tolist()))[:-1].encode()).hexdigest() if k else "" for stop, k in zip(stops, n_a + n_b)]
-    doc = a_doc[place_a]
-    packed = (doc << (2 * ID_BITS)) | (a[place_a] << ID_BITS) | b[place_b]
+    n_a, n_b = np.bincount(a_chunk, minlength=n), np.bincount(b_chunk, minlength=n)
+    words, stops = list(map(both.parts.__getitem__, order.tolist())), np.cumsum(n_a + n_b).tolist()
+    texts = ["".join(words[start:stop]) for start, stop in zip([0, *stops], stops)]
+    chunk = a_chunk[place_a]
+    pairs = ((a[place_a] << ID_BITS) | b[place_b])[np.argsort(chunk, kind="stable")]
+    return np.stack([n_a, n_b, np.bincount(a_chunk[a_last], minlength=n), np.bincount(chunk, minlength=n), whole], 1), texts, pairs
+
+
+class Memory:
+    """Chunks that a worker has met, with how they are aligned; a bounded number of them."""
+
+    def __init__(self, a: str, b: str):
+        self.both = Vocabularies(a, b)
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.size, self.counts, self.texts, self.pairs = 0, np.zeros((0, 5), np.int64), [], np.zeros(0, np.int64)
+
+    def numbers(self, chunks: list[str]) -> np.ndarray:
+        """The place of each chunk in ``counts`` and ``texts``. New ones are aligned; these are valid until the next call."""
+        if len(self.number) > CACHE or self.size > CACHE_SIZE:
+            self.forget()
+        new = list(set(chunks).difference(self.number))
+        if new:
+            counts, texts, pairs = aligned_chunks(new, self.both)
+            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+            self.size += sum(map(len, new))
+            self.counts, self.pairs = np.concatenate([self.counts, counts]), np.concatenate([self.pairs, pairs])
+            self.texts += texts
+        return np.fromiter(map(self.number.__getitem__, chunks), np.int64, len(chunks))
+
+
+@cache
+def memory(a: str, b: str) -> Memory:
+    """One memory per worker, kept for its later tasks."""
+    return Memory(a, b)
+
+
+def aligned_batch(ids: pa.Array, texts: list[str], known: Memory) -> pa.RecordBatch:
+    """The row of each text of a batch."""
+    n = len(texts)
+    chunks = list(map(known.both.chunks, texts))
+    number = known.numbers(list(chain.from_iterable(chunks)))
+    doc = np.repeat(np.arange(n), list(map(len, chunks)))
+    # A text with a chunk that either side does not give back has no tokens.
+    whole = np.bincount(doc[known.counts[number, 4] == 0], minlength=n) == 0
+    number, doc = number[whole[doc]], doc[whole[doc]]
+    n_a, n_b, n_groups, n_links = (np.bincount(doc, known.counts[number, k], minlength=n).astype(np.int64) for k in range(4))
+    held, stops = list(map(known.texts.__getitem__, number.tolist())), np.cumsum(np.bincount(doc, minlength=n)).tolist()
+    shas = [hashlib.sha256("".join(held[start:stop])[:-1].encode()).hexdigest() if stop > start else "" for start, stop in zip([0, *stops], stops)]
+    # The links of every chunk where it occurs.
+    links = known.counts[number, 3]
+    before = np.cumsum(known.counts[:, 3]) - known.counts[:, 3]
+    at = np.repeat(before[number] - (np.cumsum(links) - links), links) + np.arange(links.sum())
+    packed = (np.repeat(doc, links) << (2 * ID_BITS)) | known.pairs[at]
     distinct, times = np.unique(packed, return_counts=True)
     bounds = pa.array(np.searchsorted(distinct >> (2 * ID_BITS), np.arange(n + 1)).astype(np.int32))
     mask = (1 << ID_BITS) - 1
     lists = [pa.ListArray.from_arrays(bounds, pa.array(x.astype(np.int32))) for x in ((distinct >> ID_BITS) & mask, distinct & mask, times)]
     return pa.RecordBatch.from_arrays(
-        [ids, pa.array(n_a), pa.array(n_b), pa.array(np.bincount(a_doc[a_last], minlength=n)), pa.array(np.bincount(doc, minlength=n)), pa.array(shas, pa.string()), *lists],
+        [ids, pa.array(n_a), pa.array(n_b), pa.array(n_groups), pa.array(n_links), pa.array(shas, pa.string()), *lists],
         ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "a", "b", "times"])
 
 
@@ -166,16 +224,14 @@ def aligned(docs: DataFrame, a: str = A_VOCABULARY, b: str = B_VOCABULARY) -> Da
     """Per document: counts, the digest of its groups, and its distinct id pairs with their links."""
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = None
         for batch in batches:
-            both = both or Vocabularies(a, b)
             ids, texts = batch.column("doc_id"), batch.column("text")
             start, held, size = 0, [], 0
             for k, text in enumerate(texts):
                 held.append(text.as_py())
                 size += len(held[-1])
                 if size >= STEP or k + 1 == len(texts):
-                    yield aligned_batch(ids.slice(start, len(held)), held, both)
+                    yield aligned_batch(ids.slice(start, len(held)), held, memory(a, b))
                     start, held, size = k + 1, [], 0
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).mapInArrow(align, ALIGNED)

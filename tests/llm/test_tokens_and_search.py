@@ -129,6 +129,30 @@ def test_alignment_of_an_empty_table(spark):
     assert alignment.report(spark.createDataFrame([(1, None), (None, "")], "doc_id long, text string")).select("n_links", "count_sum").distinct().collect() == [(0, 0)]
 
 
+def test_alignment_takes_a_word_once(monkeypatch):
+    """Words met in earlier texts are not encoded again by either side, and chunks are those of the texts."""
+    import pyarrow as pa
+
+    known = alignment.Memory(alignment.A_VOCABULARY, alignment.B_VOCABULARY)
+    seen, encoded = [], known.both.encoded
+    monkeypatch.setattr(known.both, "encoded", lambda chunks: seen.extend(chunks) or encoded(chunks))
+    texts = ["one word after another, one word ", "another word after one"] * 50
+    first = alignment.aligned_batch(pa.array(range(100)), texts, known)
+    assert sorted(seen) == [" after", " another", " another,", " one", " word", " word "]
+    assert alignment.aligned_batch(pa.array(range(100)), texts, known).equals(first) and len(seen) == 6
+    monkeypatch.setattr(alignment, "CACHE", 5)  # all are forgotten, and met again
+    assert alignment.aligned_batch(pa.array(range(100)), texts, known).equals(first) and len(seen) == 12
+
+
+def test_alignment_by_chunks_matches_whole_texts(spark):
+    """White space of all kinds where texts are cut."""
+    rng = random.Random(3)
+    signs = [" ", "  ", "   ", "\n", " \n", "\n ", "\t", "\xa0", "\u3000", "\x1c", "▁", "'s", "the", "word", ".", "12", "é", "中", "\u0378", "<s>"]
+    data = [(i, "".join(rng.choice(signs) for _ in range(rng.randint(0, 9)))) for i in range(3000)]
+    got = Counter(map(tuple, alignment.report(spark.createDataFrame(data, "doc_id long, text string").repartition(3)).collect()))
+    assert got == plain_alignment(data)
+
+
 # ---- ranked search ---------------------------------------------------------
 TERM = re.compile("[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
